@@ -44,8 +44,17 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- sources, sinks and the whole build ---------------------------------------------
 
 
+CSV_OUT = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def land_csv(rows: DataFrame, path: str) -> str:
-    rows.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    rows.write.mode("overwrite").options(**CSV_OUT).csv(path)
     return path
 
 
@@ -73,8 +82,7 @@ def bronze_rebuild_idempotent(spark, sf_dir):
 
 
 def seed_leagues(spark, sf_dir):
-    path = scratch_path(spark, "seed")
-    leagues(spark).write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
+    path = land_csv(leagues(spark), scratch_path(spark, "seed"))
     counts = silver(spark, sf_dir).groupBy("division").agg(F.count("match_id").alias("n"))
     seed = read_seed_csv(spark, path)
     return seed.join(counts, seed.code == counts.division, "left").select(

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.operators.filters import present
 from matchlake.schemas import GOAL_TIMINGS, RESULT_CODES, RESULT_LABELS, SCORING_CATEGORIES
 
 
@@ -64,7 +65,7 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values occurring more than once, with their count; NULLs do not take part."""
-    counts = df.dropna(subset=list(columns)).groupBy(*columns).agg(F.count("*").alias("occurrences"))
+    counts = present(df, columns).groupBy(*columns).agg(F.count("*").alias("occurrences"))
     return counts.where("occurrences > 1")
 
 

@@ -10,29 +10,29 @@ with an odd number of quotes opens or closes a field that spans lines:
 
 * files without such a line go through the ordinary, splittable CSV reader;
 * in the other files only the blocks that touch a spanning field are regrouped;
-  every other block is parsed line by line where it was read.
+  every other block is parsed line by line, without a shuffle.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from matchlake.schemas import BRONZE
 from matchlake.session import scratch_path
 
-CSV_OPTIONS = {
-    "quote": '"',
-    "escape": '"',
-    "mode": "FAILFAST",
-    "encoding": "UTF-8",
-}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST", "encoding": "UTF-8"}
 
 
 def read_matches_csv(
-    spark: SparkSession, path: str | list[str], allow_quoted_newlines: bool = True, schema=BRONZE
+    spark: SparkSession,
+    path: str | list[str],
+    allow_quoted_newlines: bool = True,
+    schema: StructType = BRONZE,
 ) -> DataFrame:
     """Rows of all match files under ``path``.
 
@@ -42,36 +42,34 @@ def read_matches_csv(
     if not allow_quoted_newlines:
         return _split_scan(spark, path, schema)
 
-    # The per-block counts are stored once: both the choice below and the regrouping
-    # use them, and as a stored table their real size decides the join strategies.
-    blocks_path = scratch_path(spark, "csv-blocks")
-    lines = _lines(spark, path)
-    (
-        lines.groupBy("file", "block")
-        .agg(F.sum("odd").alias("odd_lines"))
-        .write.mode("overwrite")
-        .parquet(blocks_path)
-    )
-    blocks = spark.read.parquet(blocks_path)
-
-    # One row per file, like the file listing the driver holds already.
-    files = blocks.groupBy("file").agg(F.sum("odd_lines").alias("odd_lines")).collect()
-    torn = [f.file for f in files if f.odd_lines % 2]
+    # At most one row per file, like the file listing the driver keeps anyway.
+    per_file = _lines(spark, path).groupBy("file").agg(F.sum("odd").alias("odd_lines"))
+    per_file = _stored(spark, per_file, "csv-files")
+    spanning = {f.file: f.odd_lines for f in per_file.where("odd_lines > 0").collect()}
+    if not spanning:
+        return _split_scan(spark, path, schema)
+    torn = sorted(f for f, odd_lines in spanning.items() if odd_lines % 2)
     if torn:
-        raise ValueError(f"quoted field never closed in {len(torn)} file(s), first: {min(torn)}")
-    plain = sorted(f.file for f in files if not f.odd_lines)
-    spanning = sorted(f.file for f in files if f.odd_lines)
+        raise ValueError(f"quoted field never closed in {len(torn)} file(s), first: {torn[0]}")
+    rows = _regrouped_scan(spark, sorted(map(_as_path, spanning)), schema)
+    plain = [_as_path(f.file) for f in per_file.where("odd_lines = 0").collect()]
+    return rows.unionByName(_split_scan(spark, sorted(plain), schema)) if plain else rows
+
+
+def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
-    parts = []
-    if plain or not spanning:
-        parts.append(_split_scan(spark, plain or path, schema))
-    if spanning:
-        parts.append(_regrouped_scan(spark, spanning, blocks, schema))
-    return reduce(DataFrame.unionByName, parts)
 
+def _as_path(uri: str) -> str:
+    """File metadata gives encoded URIs, readers take plain paths with glob characters."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
-def _split_scan(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
-    return spark.read.schema(schema).options(header="true", **CSV_OPTIONS).csv(path)
+
+def _split_scan(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    rows = spark.read.schema(schema).options(header="true", **CSV_OPTIONS).csv(path)
+    return rows.select(*schema.fieldNames())
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -90,67 +88,61 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _regrouped_scan(
-    spark: SparkSession, files: list[str], blocks: DataFrame, schema
-) -> DataFrame:
-    # Is a field still open where a block starts? One small row per block.
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    state = (
-        blocks.where(F.col("file").isin(files))
-        .withColumn("open_at_start", F.coalesce(F.sum("odd_lines").over(earlier), F.lit(0)) % 2)
-        .where("odd_lines > 0 OR open_at_start = 1 OR block = 0")  # block 0 holds the header
-        .select("file", "block", "open_at_start")
+def _regrouped_scan(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
+    block = ["file", "block"]
+    # Where Spark cuts a file depends on the cores it has at that moment, so the lines are
+    # stored with their block and order before anything is concluded from them.
+    lines = _stored(spark, _lines(spark, files), "csv-lines")
+    # One small row per block; stored, so that its real size decides how it is joined.
+    counts = lines.groupBy(*block).agg(F.sum("odd").alias("odd_lines"))
+    earlier_blocks = (
+        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    lines = _lines(spark, files)
-    on = ["file", "block"]
-    untouched = lines.join(state, on, "left_anti").select("value")
+    touched = (
+        _stored(spark, counts, "csv-blocks")
+        .withColumn("odd_earlier", F.coalesce(F.sum("odd_lines").over(earlier_blocks), F.lit(0)))
+        # block 0 holds the header
+        .where("odd_lines > 0 OR odd_earlier % 2 = 1 OR block = 0")
+        .select(*block, "odd_earlier")
+    )
+    untouched = lines.join(touched, block, "left_anti").select("value")
 
-    # Number the records of each remaining block; 0 means "goes on from an earlier block".
-    before = Window.partitionBy(*on).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*on).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    # Odd lines open and close spanning records in turn, so the number of odd lines before
+    # a line tells whether it starts inside a field, and halved it numbers the record.
+    in_block = Window.partitionBy(*block).orderBy("pos")
+    earlier_lines = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    odd_before = F.col("odd_earlier") + F.coalesce(F.sum("odd").over(earlier_lines), F.lit(0))
     numbered = (
-        lines.join(state, on)
-        .withColumn(
-            "inside",
-            (F.col("open_at_start") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2,
-        )
-        .withColumn("record", F.sum(1 - F.col("inside")).over(upto))
-        .withColumn("whole", (F.col("inside") == 0) & (F.col("odd") == 0))
-        .where("NOT (block = 0 AND record = 1)")  # header
-    )
-    # A record that goes on from an earlier block belongs to the last one started before it.
-    starts = numbered.groupBy(*on).agg(F.max("record").alias("last_record"))
-    home = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    homes = starts.select(
-        *on,
-        F.last(
-            F.when(F.col("last_record") > 0, F.struct(F.col("block"), F.col("last_record"))),
-            ignorenulls=True,
-        )
-        .over(home)
-        .alias("home"),
-    )
-    pieces = numbered.where("NOT whole")
-    started = pieces.where("record > 0").select("file", "block", "pos", "value", F.col("block").alias("home_block"), "record")
-    carried = (
-        pieces.where("record = 0")
-        .join(homes, on)
-        .select(
-            "file", "block", "pos", "value",
-            F.col("home.block").alias("home_block"),
-            F.col("home.last_record").alias("record"),
-        )
+        lines.join(touched, block)
+        .withColumn("odd_before", odd_before)
+        .withColumn("inside", F.col("odd_before") % 2)
+        .withColumn("started", F.sum(1 - F.col("inside")).over(in_block))
+        .where("NOT (block = 0 AND started = 1)")
     )
+    whole = numbered.where("inside = 0 AND odd = 0").select("value")
     joined = (
-        started.unionByName(carried)
-        .groupBy("file", "home_block", "record")
+        numbered.where("inside = 1 OR odd = 1")
+        .groupBy("file", F.expr("odd_before div 2").alias("record"))
         .agg(F.sort_array(F.collect_list(F.struct("block", "pos", "value"))).alias("pieces"))
         .select(F.array_join("pieces.value", "\n").alias("value"))
     )
-    records = untouched.unionByName(numbered.where("whole").select("value")).unionByName(joined)
     return (
-        records.select(F.regexp_replace("value", "\r$", "").alias("value"))
+        untouched.unionByName(whole)
+        .unionByName(joined)
+        .select(F.regexp_replace("value", "\r$", "").alias("value"))
         .where(F.trim("value") != "")
-        .select(F.from_csv("value", schema.simpleString()[len("struct<"):-1], CSV_OPTIONS).alias("row"))
+        .select(F.from_csv(_well_quoted(F.col("value")), schema.toDDL(), CSV_OPTIONS).alias("row"))
         .select("row.*")
     )
+
+
+def _well_quoted(record: Column) -> Column:
+    """The record, or an error if a quote neither encloses a whole field nor is doubled.
+
+    Counting quotes finds the records only in text without such quotes, and the parser
+    would drop what follows a wrong line break without a word.
+    """
+    undoubled = F.replace(record, F.lit('""'), F.lit(""))
+    unquoted = F.regexp_replace(undoubled, r'(^|,)"[^"]*+"(?=,|\z)', "$1")
+    message = F.concat(F.lit("Malformed record, stray quote: "), record)
+    return F.when(~F.contains(unquoted, F.lit('"')), record).otherwise(F.raise_error(message))

@@ -1,0 +1,136 @@
+"""Literal rows for the casts, the key and the classifications."""
+
+import datetime
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from matchlake.functions import casts, classify
+from matchlake.schemas import GOAL_TIMINGS, KEY_NULL_TEXT, SCORING_CATEGORIES
+
+
+def column(spark, values, type_name, expression):
+    rows = [(i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"i int, x {type_name}")
+    return [r.y for r in df.select("i", F.expr(expression("x")).alias("y")).orderBy("i").collect()]
+
+
+def test_safe_int(spark):
+    cases = {
+        2.0: 2, 2.5: 3, -2.5: -3, 2.4: 2, -2.4: -2, 0.49999999999999994: 0, -0.0: 0,
+        1e20: None, float("inf"): None, float("nan"): None, 9007199254740993.0: 9007199254740992,
+    }
+    got = column(spark, [*cases, None], "double", casts.safe_int)
+    assert got == [*cases.values(), None]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=64), min_size=50, max_size=200))
+def test_safe_int_is_round_half_away_from_zero(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    wrong = df.where(
+        ~F.expr(casts.safe_int("x")).eqNullSafe(F.expr("try_cast(round(x) AS BIGINT)"))
+    )
+    assert wrong.collect() == []
+
+
+def test_safe_date(spark):
+    day = datetime.date(2024, 1, 5)
+    cases = {
+        "2024-1-5": day, "2024-01-05": day, "2024": None, "2024-01": None, "05/01/2024": None,
+        "2024-02-30": None, "2024-13-01": None, "": None, "12024-01-05": None, "0000-01-01": None,
+        " 2024-01-05": None, "2024-01-05\n": None, "2024-01-05 10:00:00": None,
+    }
+    assert column(spark, [*cases, None], "string", casts.safe_date) == [*cases.values(), None]
+
+
+def test_safe_double(spark):
+    assert column(spark, ["1.5", "abc", None], "string", casts.safe_double) == [1.5, None, None]
+
+
+def test_canonical_text(spark):
+    got = column(spark, [2.0, 1e7, 2.5, -0.0, None], "double", casts.canonical_text)
+    assert got == ["2", "10000000", "2.5", "0", None]
+
+
+def test_surrogate_key_text(spark):
+    import hashlib
+
+    key = casts.surrogate_key(["a", "d", "b"], doubles=["d"])
+    df = spark.createDataFrame([("E0", 2.0, None), (None, None, "x-y")], "a string, d double, b string")
+    want = [f"E0-2-{KEY_NULL_TEXT}", f"{KEY_NULL_TEXT}-{KEY_NULL_TEXT}-x-y"]
+    got = [r.k for r in df.select(F.expr(key).alias("k")).collect()]
+    assert got == [hashlib.md5(w.encode()).hexdigest() for w in want]
+
+
+def test_result_label(spark):
+    df = spark.createDataFrame([(c,) for c in ("H", "A", "D", "X", "h", None)], "c string")
+    got = [r[0] for r in df.select(classify.result_label(F.col("c"))).collect()]
+    assert got == ["Home Win", "Away Win", "Draw", "Unknown", "Unknown", "Unknown"]
+
+
+TIMINGS = [
+    ((None, 0, 0, 0), "Data Unavailable"),
+    ((0, None, 3, 0), "Data Unavailable"),
+    ((1, 1, 1, 1), "All Goals in First Half"),
+    ((0, 0, 2, 1), "All Goals in Second Half"),
+    ((0, 0, 0, 0), "No Goals"),
+    ((1, 0, 2, 0), "Goals in Both Halves"),
+    ((2, 1, 1, 0), "Goals in Both Halves"),
+    ((1, 0, 0, 0), "No Goals"),
+]
+
+
+def timing():
+    return classify.goal_timing(F.col("hh") + F.col("ha"), F.col("fh") + F.col("fa"))
+
+
+def test_goal_timing(spark):
+    df = spark.createDataFrame([case for case, _ in TIMINGS], "hh long, ha long, fh long, fa long")
+    assert [r[0] for r in df.select(timing()).collect()] == [label for _, label in TIMINGS]
+
+
+def test_scoring_category(spark):
+    df = spark.range(6).select(classify.scoring_category(F.col("id")))
+    assert [r[0] for r in df.collect()] == [
+        "Goalless", "Low Scoring", "Low Scoring", "Normal", "Normal", "High Scoring",
+    ]
+
+
+def expected_timing(hh, ha, fh, fa):
+    """Independent statement of the rule: the set of labels whose description holds."""
+    if hh is None or ha is None:
+        return {"Data Unavailable"}
+    half, full = hh + ha, fh + fa
+    labels = set()
+    if full == 0:
+        labels.add("No Goals")
+    elif half == 0:
+        labels.add("All Goals in Second Half")
+    elif half == full:
+        labels.add("All Goals in First Half")
+    return labels or {"Goals in Both Halves"}
+
+
+goals = st.integers(0, 9)
+maybe = st.one_of(st.none(), goals)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(maybe, maybe, goals, goals), min_size=50, max_size=200))
+def test_categories_are_total_and_exclusive(spark, rows):
+    df = spark.createDataFrame(rows, "hh long, ha long, fh long, fa long")
+    total = F.col("fh") + F.col("fa")
+    for r in df.select("*", timing().alias("t"), classify.scoring_category(total).alias("s")).collect():
+        assert {r.t} == expected_timing(r.hh, r.ha, r.fh, r.fa) and r.t in GOAL_TIMINGS
+        bands = [r.fh + r.fa == 0, 1 <= r.fh + r.fa <= 2, 3 <= r.fh + r.fa <= 4, r.fh + r.fa >= 5]
+        assert sum(bands) == 1 and r.s == SCORING_CATEGORIES[bands.index(True)]
+
+
+@pytest.mark.parametrize("custom, want", [(None, "main"), (" raw_x ", "raw_x"), ("raw_x", "raw_x")])
+def test_route_namespace(custom, want):
+    from matchlake.sources.tables import route_namespace
+
+    assert route_namespace(custom, "main") == want
