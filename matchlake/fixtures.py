@@ -27,23 +27,38 @@ def _unless(missing: Column, value: Column) -> Column:
 
 def matches_from_lineitem(lineitem: DataFrame) -> DataFrame:
     pk, ok, sk = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
-    ln = F.col("l_linenumber").cast("bigint")
-    q = F.col("l_quantity").cast("bigint")
-    home, away = q % 5, ln % 4
-    ht_home, ht_away = F.least(home, sk % 3), F.least(away, pk % 2)
-    no_half_time = ok % 13 == 0
+    # Used by many columns, so computed once per row in a step of their own.
+    shared = lineitem.select(
+        "l_partkey",
+        "l_orderkey",
+        "l_suppkey",
+        F.col("l_shipdate").cast("date").alias("day"),
+        F.col("l_quantity").cast("bigint").alias("q"),
+        (F.col("l_quantity").cast("bigint") % 5).alias("home"),
+        (F.col("l_linenumber").cast("bigint") % 4).alias("away"),
+        (ok % 13 == 0).alias("no_half_time"),
+        (ok % 17 == 0).alias("no_stats"),
+        (ok % 19 == 0).alias("no_odds"),
+        (sk % 11 == 0).alias("no_elo"),
+    )
+    shared = shared.withColumns(
+        {"ht_home": F.least("home", sk % 3), "ht_away": F.least("away", pk % 2)}
+    )
+    q, home, away = F.col("q"), F.col("home"), F.col("away")
+    ht_home, ht_away = F.col("ht_home"), F.col("ht_away")
+    no_half_time = F.col("no_half_time")
 
     codes = F.array(*[F.lit(code) for code, _, _ in LEAGUES], F.lit("ZZ9"), F.lit(None))
     columns = {
         "Division": F.get(codes, (sk % 40).cast("int")),
         "MatchDate": F.when(pk % 97 == 0, None)
         .when(pk % 89 == 0, "31/12/1999")
-        .otherwise(F.col("l_shipdate").cast("date").cast("string")),
+        .otherwise(F.col("day").cast("string")),
         "MatchTime": F.when(ok % 2 == 0, "15:00"),
         "HomeTeam": _unless(ok % 101 == 0, F.concat(F.lit("Team_"), pk % 20)),
         "AwayTeam": _unless(ok % 103 == 0, F.concat(F.lit("Team_"), ok % 20)),
-        "HomeElo": _unless(sk % 11 == 0, 1200 + (pk % 8000) / 10),
-        "AwayElo": _unless(sk % 11 == 0, 1200 + (ok % 8000) / 10),
+        "HomeElo": _unless(F.col("no_elo"), 1200 + (pk % 8000) / 10),
+        "AwayElo": _unless(F.col("no_elo"), 1200 + (ok % 8000) / 10),
         "Form3Home": sk % 10,
         "Form5Home": sk % 16,
         "Form3Away": (sk + 3) % 10,
@@ -64,14 +79,14 @@ def matches_from_lineitem(lineitem: DataFrame) -> DataFrame:
             value = F.when(pk % 211 == 0, float("nan")).otherwise(value)
         if name == "AwayShots":
             value = F.when(pk % 223 == 0, float("inf")).otherwise(value)
-        columns[name] = _unless(ok % 17 == 0, value)
+        columns[name] = _unless(F.col("no_stats"), value)
     for k, name in enumerate(ODDS):
-        columns[name] = _unless(ok % 19 == 0, (101 + (pk + 37 * k) % 500) / 100)
+        columns[name] = _unless(F.col("no_odds"), (101 + (pk + 37 * k) % 500) / 100)
     for k, name in enumerate(CLOSING):
         columns[name] = ((ok + 7 * k) % 100) / 100
 
     text = {"Division", "MatchDate", "MatchTime", "HomeTeam", "AwayTeam", "FTResult", "HTResult"}
-    return lineitem.select(
+    return shared.select(
         *[
             (columns[c] if c in text else columns[c].cast("double")).alias(c)
             for c in BRONZE_COLUMNS

@@ -19,15 +19,18 @@ def safe_date(column: str) -> str:
     return f"CASE WHEN {column} RLIKE '{DATE_SHAPE}' THEN try_cast({column} AS DATE) END"
 
 
+# The largest double below one half. Adding it and cutting off the fraction rounds half away
+# from zero exactly, where adding 0.5 would carry 0.49999999999999994 up to 1.
+ALMOST_HALF = "0.49999999999999994D"
+
+
 def safe_int(column: str) -> str:
     """BIGINT rounded half away from zero; NaN, infinities and overflow give NULL.
 
-    The truncated value and its exact remainder avoid ``round`` on doubles, which
-    goes through BigDecimal for every row.
+    ``round`` on a double goes through BigDecimal for every row; this stays arithmetic.
     """
-    whole = f"try_cast({column} AS BIGINT)"
-    rest = f"({column} - {whole})"
-    return f"{whole} + CASE WHEN {rest} >= 0.5D THEN 1L WHEN {rest} <= -0.5D THEN -1L ELSE 0L END"
+    half = f"CASE WHEN {column} < 0 THEN -{ALMOST_HALF} ELSE {ALMOST_HALF} END"
+    return f"try_cast({column} + {half} AS BIGINT)"
 
 
 def safe_double(column: str) -> str:

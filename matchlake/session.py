@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # HotSpot does not compile methods beyond this size; wider generated stages run faster
+    # as separate operators than interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
