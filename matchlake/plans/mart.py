@@ -14,12 +14,13 @@ def classified(matches: DataFrame) -> DataFrame:
     home, away = F.col("home_goals_ft"), F.col("away_goals_ft")
     half_time = F.col("home_goals_ht") + F.col("away_goals_ht")
     full_time = F.col("total_goals")
-    return (
-        matches.withColumn("total_goals", home + away)
-        .withColumn("match_result_label", result_label(F.col("full_time_result")))
-        .withColumn("goal_difference", F.abs(home - away))
-        .withColumn("goal_timing", goal_timing(half_time, full_time))
-        .withColumn("scoring_category", scoring_category(full_time))
+    return matches.withColumn("total_goals", home + away).withColumns(
+        {
+            "match_result_label": result_label(F.col("full_time_result")),
+            "goal_difference": F.abs(home - away),
+            "goal_timing": goal_timing(half_time, full_time),
+            "scoring_category": scoring_category(full_time),
+        }
     )
 
 

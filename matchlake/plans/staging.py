@@ -22,7 +22,7 @@ STAGED_SQL = {
 def cast_columns(raw: DataFrame, *names: str, keep: Sequence[str] = ()) -> DataFrame:
     """Staged columns from bronze rows: all of them unless some are named. ``keep`` lists
     raw columns to carry along."""
-    return raw.select(*keep, *[F.expr(STAGED_SQL[n]).alias(n) for n in names or STAGED_SQL])
+    return raw.selectExpr(*keep, *[f"{STAGED_SQL[n]} AS {n}" for n in names or STAGED_SQL])
 
 
 def stage(raw: DataFrame, leagues: DataFrame) -> DataFrame:

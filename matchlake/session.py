@@ -14,8 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Rebalanced writes and coalesced shuffles aim at this size, so it also sets
     # the size of the published files.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
     # HotSpot does not compile methods beyond this size; wider generated stages run faster
     # as separate operators than interpreted.
@@ -38,10 +37,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local session without that setting falls back to a machine-local folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="matchlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="matchlake-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/matchlake/{label}-{uuid.uuid4().hex}"
