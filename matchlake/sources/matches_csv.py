@@ -74,7 +74,7 @@ def _split_scan(spark: SparkSession, path: str | list[str], schema: StructType)
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Physical lines with their file, the block they were read in and their order there."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     return (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -93,44 +93,65 @@ def _regrouped_scan(spark: SparkSession, files: list[str], schema: StructType) -
     # Where Spark cuts a file depends on the cores it has at that moment, so the lines are
     # stored with their block and order before anything is concluded from them.
     lines = _stored(spark, _lines(spark, files), "csv-lines")
-    # One small row per block; stored, so that its real size decides how it is joined.
-    counts = lines.groupBy(*block).agg(F.sum("odd").alias("odd_lines"))
+    odd_pos = F.when(F.col("odd") == 1, F.col("pos"))
+    summary = lines.groupBy(*block).agg(
+        F.sum("odd").alias("odd_lines"),
+        F.min(odd_pos).alias("first_odd"),
+        F.max(odd_pos).alias("last_odd"),
+        F.min("pos").alias("first_pos"),
+    )
+    # One small row per block; stored, so that its real size decides how it is joined. Odd
+    # lines open and close spanning records in turn, so the number of odd lines before a
+    # line tells whether it starts inside a field, and halved it numbers the record.
     earlier_blocks = (
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
     touched = (
-        _stored(spark, counts, "csv-blocks")
-        .withColumn("odd_earlier", F.coalesce(F.sum("odd_lines").over(earlier_blocks), F.lit(0)))
+        _stored(spark, summary, "csv-blocks")
+        .withColumn("odd_before", F.coalesce(F.sum("odd_lines").over(earlier_blocks), F.lit(0)))
+        .withColumn("odd_after", F.col("odd_before") + F.col("odd_lines"))
         # block 0 holds the header
-        .where("odd_lines > 0 OR odd_earlier % 2 = 1 OR block = 0")
-        .select(*block, "odd_earlier")
+        .where("odd_lines > 0 OR odd_before % 2 = 1 OR block = 0")
+        .drop("odd_lines")
     )
-    untouched = lines.join(touched, block, "left_anti").select("value")
-
-    # Odd lines open and close spanning records in turn, so the number of odd lines before
-    # a line tells whether it starts inside a field, and halved it numbers the record.
-    in_block = Window.partitionBy(*block).orderBy("pos")
-    earlier_lines = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    odd_before = F.col("odd_earlier") + F.coalesce(F.sum("odd").over(earlier_lines), F.lit(0))
-    numbered = (
+    filled = F.col("value").rlike(r"\S")  # blank lines between records are skipped
+    untouched = lines.where(filled).join(touched, block, "left_anti").select("value")
+    regrouped = (
         lines.join(touched, block)
-        .withColumn("odd_before", odd_before)
-        .withColumn("inside", F.col("odd_before") % 2)
-        .withColumn("started", F.sum(1 - F.col("inside")).over(in_block))
-        .where("NOT (block = 0 AND started = 1)")
+        .withColumn("from_earlier", F.expr("odd_before % 2 = 1 AND pos <= coalesce(first_odd, pos)"))
+        .withColumn("into_later", F.expr("odd_after % 2 = 1 AND pos >= coalesce(last_odd, pos)"))
+        .withColumn("header", F.expr("block = 0 AND pos = first_pos"))
     )
-    whole = numbered.where("inside = 0 AND odd = 0").select("value")
-    joined = (
-        numbered.where("inside = 1 OR odd = 1")
-        .groupBy("file", F.expr("odd_before div 2").alias("record"))
-        .agg(F.sort_array(F.collect_list(F.struct("block", "pos", "value"))).alias("pieces"))
-        .select(F.array_join("pieces.value", "\n").alias("value"))
+
+    # Records that cross a block edge: at most two per block, numbered within the file.
+    crossing = (
+        regrouped.where("from_earlier OR into_later")
+        .withColumn("record", F.expr("if(from_earlier, odd_before, odd_after) div 2"))
+        .groupBy("file", "record")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("block", "pos", "value"))).alias("pieces"),
+            F.max("header").alias("header"),
+        )
+    )
+    # All others begin and end in their block, and are grouped where the window left them.
+    in_block = Window.partitionBy(*block).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    inner = (
+        regrouped.where("NOT (from_earlier OR into_later)")
+        .withColumn("odd_seen", F.sum("odd").over(in_block) - F.col("odd"))
+        .withColumn("whole", F.expr("odd_seen % 2 = 0 AND odd = 0"))
+        .where(~F.col("whole") | filled)
+        .withColumn("record", F.expr("if(whole, pos, -1 - odd_seen div 2)"))
+        .groupBy(*block, "record")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("pieces"),
+            F.max("header").alias("header"),
+        )
     )
+    text = F.array_join("pieces.value", "\n").alias("value")
     return (
-        untouched.unionByName(whole)
-        .unionByName(joined)
-        .select(F.regexp_replace("value", "\r$", "").alias("value"))
-        .where(F.trim("value") != "")
+        untouched.unionByName(inner.where("NOT header").select(text))
+        .unionByName(crossing.where("NOT header").select(text))
+        .select(F.rtrim("value", F.lit("\r")).alias("value"))
         .select(F.from_csv(_well_quoted(F.col("value")), schema.toDDL(), CSV_OPTIONS).alias("row"))
         .select("row.*")
     )

@@ -92,6 +92,13 @@ def test_unclosed_quote_is_reported(spark, tmp_path):
         read_matches_csv(spark, str(path), schema=SMALL)
 
 
+def test_blank_lines_are_skipped(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text('a,b,c,d\n1,"x\n\ny",c,1\n\n  \n2,x,y,2\n\n')
+    got = values(read_matches_csv(spark, str(path), schema=SMALL))
+    assert got == [("1", "x\n\ny", "c", 1.0), ("2", "x", "y", 2.0)]
+
+
 @pytest.mark.parametrize("lines", ['1,5" x,a,1\n2,6" x,b,2\n', '1,"a\nb"c,d,1\n'])
 def test_stray_quotes_never_lose_rows(spark, tmp_path, lines):
     path = tmp_path / "m.csv"
@@ -119,7 +126,9 @@ def test_files_cut_into_many_blocks(spark, conf, tmp_path, newline):
             rows.append((f"{name}-{i}", noise(rng, spans), noise(rng, spans), str(i)))
         if share:
             rows.append((f"{name}-long", "x" + "\nlong line, \"quoted\"" * 200, "z", "0"))
-        write(tmp_path / name, rows, newline=newline)
+        # A header that spans lines, within its block and beyond it.
+        note = {"all.csv": "note\n" * 3, "rare.csv": "note\n" * 400}.get(name, "note")
+        write(tmp_path / name, rows, header=("id", note, "other", "n"), newline=newline)
         written += [(a, b, c, float(d)) for a, b, c, d in rows]
     df = read_matches_csv(spark, str(tmp_path), schema=SMALL)
     assert values(df) == sorted(written, key=repr)
