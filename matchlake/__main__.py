@@ -1,8 +1,10 @@
 """Command line: build the layers, run the data tests, print a KPI.
 
-    spark-submit matchlake/__main__.py build --matches PATH [--leagues PATH] [--root PATH]
-    spark-submit matchlake/__main__.py test
-    spark-submit matchlake/__main__.py kpi kpi_avg_goals_by_year
+    python -m matchlake --root PATH build --matches PATH [--leagues PATH]
+    python -m matchlake --root PATH test
+    python -m matchlake --root PATH kpi kpi_avg_goals_by_year
+
+``--root`` may be left out where a metastore keeps the tables.
 """
 
 from __future__ import annotations
@@ -11,7 +13,13 @@ import argparse
 
 from matchlake.operators.kpis import KPIS
 from matchlake.operators.quality import gate
-from matchlake.plans.build import MART_TABLE, BuildConfig, quality_report, run_build
+from matchlake.plans.build import (
+    MART_TABLE,
+    BuildConfig,
+    open_layers,
+    quality_report,
+    run_build,
+)
 from matchlake.session import build_session
 from matchlake.sources.tables import Namespaces, read_mart
 
@@ -20,11 +28,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="matchlake")
     for layer in ("raw", "staging", "mart"):
         parser.add_argument(f"--{layer}-database", default=getattr(Namespaces, layer))
+    parser.add_argument("--root", help="folder of the databases; else the catalog decides")
     commands = parser.add_subparsers(dest="command", required=True)
     build = commands.add_parser("build", help="rebuild every layer, then run the data tests")
     build.add_argument("--matches", required=True, nargs="+", help="match CSV files or folders")
     build.add_argument("--leagues", help="league CSV; the built-in dimension when left out")
-    build.add_argument("--root", help="where new databases are created")
     build.add_argument("--no-quoted-newlines", action="store_true")
     commands.add_parser("test", help="run the data tests on the published layers")
     kpi = commands.add_parser("kpi", help="print one dashboard aggregation")
@@ -39,7 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         raw=args.raw_database,
         staging=args.staging_database,
         mart=args.mart_database,
-        root=getattr(args, "root", None),
+        root=args.root,
     )
     cfg = BuildConfig(
         matches_csv=getattr(args, "matches", []),
@@ -49,7 +57,10 @@ def main(argv: list[str] | None = None) -> None:
     )
     if args.command == "build":
         run_build(spark, cfg)
-    elif args.command == "test":
+        return
+    if args.root:
+        open_layers(spark, cfg)
+    if args.command == "test":
         report = quality_report(spark, cfg)
         report.orderBy("model", "column_name", "test").show(50, truncate=False)
         gate(report)

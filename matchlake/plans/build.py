@@ -30,12 +30,14 @@ def build_bronze(spark: SparkSession, cfg: BuildConfig) -> None:
     # All 48 columns are parsed here, once: a pruned CSV scan would not notice a bad
     # value in a column it skips.
     rows = read_matches_csv(spark, cfg.matches_csv, cfg.allow_quoted_newlines)
-    write_table(rows, cfg.namespaces.table("raw", BRONZE_TABLE))
+    ns = cfg.namespaces
+    write_table(rows, ns.table("raw", BRONZE_TABLE), ns.path("raw", BRONZE_TABLE))
 
 
 def build_seed(spark: SparkSession, cfg: BuildConfig) -> None:
     rows = read_seed_csv(spark, cfg.leagues_csv) if cfg.leagues_csv else leagues(spark)
-    write_table(rows, cfg.namespaces.table("raw", SEED_TABLE))
+    ns = cfg.namespaces
+    write_table(rows, ns.table("raw", SEED_TABLE), ns.path("raw", SEED_TABLE))
 
 
 def build_silver(spark: SparkSession, cfg: BuildConfig) -> None:
@@ -51,7 +53,16 @@ def build_silver(spark: SparkSession, cfg: BuildConfig) -> None:
 def build_gold(spark: SparkSession, cfg: BuildConfig) -> None:
     ns = cfg.namespaces
     silver = spark.table(ns.table("staging", SILVER_VIEW))
-    write_mart(build_mart(silver), ns.table("mart", MART_TABLE))
+    write_mart(build_mart(silver), ns.table("mart", MART_TABLE), ns.path("mart", MART_TABLE))
+
+
+def open_layers(spark: SparkSession, cfg: BuildConfig) -> None:
+    """Reach what an earlier session built under the same root."""
+    ns = cfg.namespaces
+    ns.create(spark)
+    for layer, name in (("raw", BRONZE_TABLE), ("raw", SEED_TABLE), ("mart", MART_TABLE)):
+        ns.attach(spark, layer, name)
+    build_silver(spark, cfg)
 
 
 def quality_report(spark: SparkSession, cfg: BuildConfig) -> DataFrame:

@@ -31,12 +31,23 @@ class Namespaces:
     def table(self, layer: str, name: str) -> str:
         return f"{self.database(layer)}.{name}"
 
+    def path(self, layer: str, name: str) -> str | None:
+        return f"{self.root}/{self.database(layer)}/{name}" if self.root else None
+
     def create(self, spark: SparkSession) -> None:
         for layer in ("raw", "staging", "mart"):
             database = self.database(layer)
             place = f" LOCATION '{self.root}/{database}'" if self.root else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
+    def attach(self, spark: SparkSession, layer: str, name: str) -> None:
+        """Make a table stored under ``root`` known to a catalog that does not remember it."""
+        table, path = self.table(layer, name), self.path(layer, name)
+        if path and not spark.catalog.tableExists(table):
+            spark.catalog.createTable(table, path=path, source="parquet")
+            if any(column.isPartition for column in spark.catalog.listColumns(table)):
+                spark.catalog.recoverPartitions(table)  # else it reads as empty
+
 
 def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Full rebuild of a Parquet table."""
