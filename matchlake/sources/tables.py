@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,11 +89,11 @@ def read_mart(spark: SparkSession, name: str) -> DataFrame:
     return as_mart(spark.table(name))
 
 
-def match_date_between(mart: DataFrame, low: str, high: str) -> DataFrame:
-    """Rows of an inclusive date range. The year bounds follow from the dates and are what
+def match_date_between(mart: DataFrame, low: str | date, high: str | date) -> DataFrame:
+    """Rows of an inclusive date range (dates or yyyy-mm-dd text). The year bounds follow from the dates and are what
     prunes the year folders; a date filter alone would open every file."""
-    first, last = F.lit(low).cast("date"), F.lit(high).cast("date")
+    first, last = date.fromisoformat(str(low)), date.fromisoformat(str(high))
     return mart.where(
         F.col("match_date").between(first, last)
-        & F.col("match_year").between(int(low[:4]), int(high[:4]))
+        & F.col("match_year").between(first.year, last.year)
     )
