@@ -245,7 +245,40 @@ def dq_relationships_lineitem_orders(spark, sf_dir):
     return quality.orphans(lineitem, "l_orderkey", orders, "o_orderkey")
 
 
+# --- the optional training-data subpackage ------------------------------------------------
+
+
+def training_data():
+    """Its queries and the pipeline, or None where the subpackage was taken out."""
+    try:
+        import corpus_pipeline
+        from matchlake.llm import queries as training_queries
+    except ModuleNotFoundError as missing:
+        if missing.name in ("matchlake.llm", "corpus_pipeline"):
+            return None
+        raise
+    return training_queries, corpus_pipeline
+
+
 def queries() -> dict[str, Query]:
+    found = core_queries()
+    if parts := training_data():
+        training_queries, corpus_pipeline = parts
+        found |= training_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = expected.statements()
+    if parts := training_data():
+        training_queries, corpus_pipeline = parts
+        found |= training_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "csv_scan_roundtrip": csv_scan_roundtrip,
         "csv_quoted_newline": csv_quoted_newline,
@@ -283,7 +316,3 @@ def queries() -> dict[str, Query]:
         "dq_unique_lineitem": dq_unique_lineitem,
         "dq_relationships_lineitem_orders": dq_relationships_lineitem_orders,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return expected.statements()
