@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import packing, simhash, toxicity
+from matchlake.llm import decontaminate, packing, pii, simhash, toxicity
 from matchlake.llm.common import saved, table
 
 
@@ -22,6 +22,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.one_of_each_group(docs, simhash.near_duplicates(docs))
 
 
+def drop_benchmark_holders(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.mask_documents(docs)
+
+
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs).drop("ids")
 
@@ -29,6 +37,8 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_holders),
+    ("pii", mask_personal_data),
     ("packing", pack_windows),
 ]
 

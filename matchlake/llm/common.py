@@ -38,3 +38,13 @@ def text_key(text: Column) -> Column:
 def filled_id(doc_id: Column) -> Column:
     """The id as a join key; null ids get the largest long."""
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hand Python tasks smaller batches of long texts than Spark's 10,000 rows.
+
+    A session setting (Spark has no other place for it) that is only ever lowered.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import packing, simhash, toxicity
+from matchlake.llm import decontaminate, language, packing, pii, simhash, toxicity
 from matchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,17 +21,36 @@ def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model)
 
 
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.drop("all_spans", *pii.KEY)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
         "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
+        "op5_bm25_decontamination": op5_bm25_decontamination,
         "op6_toxicity": op6_toxicity,
+        "op7_bootstrapped_pii": op7_bootstrapped_pii,
+        "op9_language_id": op9_language_id,
     }
 
 
