@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import decontaminate, language, packing, pii, simhash, toxicity
+from matchlake.llm import class_lm, decontaminate, language, packing, pii, simhash, toxicity
 from matchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
+def op10_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
@@ -51,6 +55,7 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": op6_toxicity,
         "op7_bootstrapped_pii": op7_bootstrapped_pii,
         "op9_language_id": op9_language_id,
+        "op10_brown_class_ngrams": op10_brown_class_ngrams,
     }
 
 
