@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import class_lm, decontaminate, language, packing, pii, simhash, toxicity
+from matchlake.llm import class_lm, decontaminate, language, packing, pii, repeated_text, simhash, toxicity
 from matchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("all_spans", *pii.KEY)
 
 
+def op8_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_text.digests(repeated_text.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.train(docs))
@@ -54,6 +58,7 @@ def queries() -> dict[str, Query]:
         "op5_bm25_decontamination": op5_bm25_decontamination,
         "op6_toxicity": op6_toxicity,
         "op7_bootstrapped_pii": op7_bootstrapped_pii,
+        "op8_prefix_doubling": op8_prefix_doubling,
         "op9_language_id": op9_language_id,
         "op10_brown_class_ngrams": op10_brown_class_ngrams,
     }
