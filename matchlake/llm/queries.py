@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import class_lm, decontaminate, language, packing, pii, repeated_text, simhash, toxicity
+from matchlake.llm import class_lm, decontaminate, language, packing, pii, repeated_text, separator_scan, simhash, toxicity
 from matchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = separator_scan.document_token_counts(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens")
+
+
 def op4_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -54,6 +59,7 @@ def op10_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+        "op3_separator_scan": op3_separator_scan,
         "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
         "op5_bm25_decontamination": op5_bm25_decontamination,
         "op6_toxicity": op6_toxicity,

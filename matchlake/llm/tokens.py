@@ -21,11 +21,12 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class WordIds:
-    def __init__(self, path: str, code: str = "I"):
+    def __init__(self, path: str, code: str = "I", special_tokens_are_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_tokens_are_text
         self.code = code  # "I": 32 bits, "H": 16 bits
         self.seen: dict[bytes, bytes] = {}
 
