@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import class_lm, decontaminate, language, packing, pii, repeated_text, separator_scan, simhash, toxicity
+from matchlake.llm import (
+    class_lm,
+    decontaminate,
+    embedding_graph,
+    language,
+    packing,
+    pii,
+    repeated_text,
+    separator_scan,
+    simhash,
+    toxicity,
+)
 from matchlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
@@ -58,6 +73,7 @@ def op10_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_flat_graph": op1_flat_graph,
         "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
         "op3_separator_scan": op3_separator_scan,
         "op4_simhash_near_duplicates": op4_simhash_near_duplicates,
