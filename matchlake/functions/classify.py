@@ -17,13 +17,13 @@ def result_label(code: Column) -> Column:
 
 def goal_timing(half_time: Column, full_time: Column) -> Column:
     """``half_time`` and ``full_time`` are goal totals; a missing half-time side makes
-    the half-time total NULL, which decides before anything else."""
-    scored = full_time > 0
+    the half-time total NULL, which decides before anything else. The order is that of the
+    data model's definition."""
     return (
         F.when(half_time.isNull(), "Data Unavailable")
-        .when(full_time == 0, "No Goals")
-        .when(scored & (half_time == 0), "All Goals in Second Half")
         .when((half_time > 0) & (half_time == full_time), "All Goals in First Half")
+        .when((half_time == 0) & (full_time > 0), "All Goals in Second Half")
+        .when(full_time == 0, "No Goals")
         .otherwise("Goals in Both Halves")
     )
 
