@@ -12,7 +12,7 @@ weights on the driver from a bounded sample.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import fold
+from matchlake.llm.common import bounded_batches, fold
 
 FEATURES = 1 << 18
 # Bounds of the training sample: rows of either kind, and features over all rows.
@@ -121,9 +121,10 @@ def fit(
 
 def _feature_lists():
     @F.pandas_udf("array<int>")
-    def lists(texts: pd.Series) -> pd.Series:
+    def lists(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = WordFeatures()
-        return pd.Series([features(t) for t in texts])
+        for texts in batches:
+            yield pd.Series([features(t) for t in texts])
 
     return lists
 
@@ -134,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     A document labelled more than once is toxic if any label says so. The prior is the share
     of toxic labels. The sample takes the rows with the smallest hash of their id.
     """
+    bounded_batches(docs.sparkSession)
     modulus, held_out = HELD_OUT
     known = (
         labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
@@ -170,12 +172,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 def scorer(model: Model):
     """A column function: score of a text between 0 and 1."""
-    shared = {"model": model}
-
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = WordFeatures()
-        return pd.Series(shared["model"].scores(features(t) for t in texts))
+        for texts in batches:
+            yield pd.Series(model.scores(features(t) for t in texts))
 
     return score
 
