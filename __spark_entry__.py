@@ -18,9 +18,9 @@ from matchlake.fixtures import matches  # noqa: E402
 from matchlake.functions import classify  # noqa: E402
 from matchlake.operators import filters, kpis, quality  # noqa: E402
 from matchlake.operators.enrich import with_league  # noqa: E402
-from matchlake.plans.build import BuildConfig, run_build  # noqa: E402
+from matchlake.plans.build import MART_TABLE, BuildConfig, quality_report, run_build  # noqa: E402
 from matchlake.plans.mart import build_mart  # noqa: E402
-from matchlake.plans.staging import cast_columns, stage  # noqa: E402
+from matchlake.plans.staging import cast_columns, publish_view, stage  # noqa: E402
 from matchlake.session import scratch_path  # noqa: E402
 from matchlake.sources import tables  # noqa: E402
 from matchlake.sources.leagues import leagues, read_seed_csv  # noqa: E402
@@ -67,7 +67,9 @@ def csv_quoted_newline(spark, sf_dir):
     rows = matches(spark, sf_dir).withColumns(
         {
             "HomeTeam": F.concat("HomeTeam", F.lit(' "'), "Division", F.lit('",\nReserves')),
+            "AwayTeam": F.concat("AwayTeam", F.lit("\r\n'B'")),
             "MatchTime": F.coalesce("MatchTime", F.lit("\nlate")),
+            "HTResult": F.concat("HTResult", F.lit("\r")),
         }
     )
     return read_matches_csv(spark, land_csv(rows, scratch_path(spark, "landed-quoted")))
@@ -101,15 +103,52 @@ def mart_date_range_pruned(spark, sf_dir):
     return tables.match_date_between(stored_mart(spark, sf_dir), "1996-07-01", "1998-06-30")
 
 
-def medallion_end_to_end(spark, sf_dir):
+def built(spark, sf_dir) -> BuildConfig:
+    """All layers, built and tested from landed files."""
     root = scratch_path(spark, "build")
     run = root.rsplit("-", 1)[1]
     names = tables.Namespaces(
         raw=f"raw_{run}", staging=f"staging_{run}", mart=f"mart_{run}", root=root
     )
     landed = land_csv(matches(spark, sf_dir), f"{root}/landed")
-    # The derived rows fail some data tests on purpose; dq_report shows those counts.
-    return run_build(spark, BuildConfig(landed, namespaces=names, stop_on_failed_tests=False))
+    # The derived rows fail some data tests on purpose; the reports show those counts.
+    cfg = BuildConfig(landed, namespaces=names, stop_on_failed_tests=False)
+    run_build(spark, cfg)
+    return cfg
+
+
+def medallion_end_to_end(spark, sf_dir):
+    return tables.read_mart(spark, built(spark, sf_dir).namespaces.table("mart", MART_TABLE))
+
+
+def medallion_test_report(spark, sf_dir):
+    return quality_report(spark, built(spark, sf_dir))
+
+
+PUBLISHED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def published(spark, sf_dir) -> tuple[str, str]:
+    """Names of the silver view and the mart table over ``sf_dir``, made once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in PUBLISHED:
+        root = scratch_path(spark, "published")
+        run = root.rsplit("-", 1)[1]
+        raw, seed, view, fact = (f"default.{n}_{run}" for n in ("raw", "leagues", "stg", "fct"))
+        tables.write_table(matches(spark, sf_dir), raw, f"{root}/raw")
+        tables.write_table(leagues(spark), seed, f"{root}/leagues")
+        publish_view(spark, view, raw, seed)
+        tables.write_mart(build_mart(spark.table(view)), fact, f"{root}/mart")
+        PUBLISHED[key] = view, fact
+    return PUBLISHED[key]
+
+
+def silver_view(spark, sf_dir):
+    return spark.table(published(spark, sf_dir)[0])
+
+
+def published_mart(spark, sf_dir):
+    return tables.read_mart(spark, published(spark, sf_dir)[1])
 
 
 # --- casts and classifications --------------------------------------------------------
@@ -124,6 +163,30 @@ def safe_cast_date(spark, sf_dir):
     return cast_columns(matches(spark, sf_dir), "match_date", keep=["MatchDate"])
 
 
+def safe_cast_date_forms(spark, sf_dir):
+    """Dates written in forms that are taken (the first three) and that are not."""
+    forms = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "CAST(l_shipdate AS DATE) AS day", "cast(l_orderkey % 10 AS INT) AS form"
+    ).selectExpr(
+        """get(array(
+            date_format(day, 'yyyy-MM-dd'), date_format(day, 'yyyy-M-d'), date_format(day, 'yyyy-MM-d'),
+            date_format(day, 'yyyy'), date_format(day, 'yyyy-MM'), date_format(day, 'dd/MM/yyyy'),
+            concat(date_format(day, 'yyyy-MM-dd'), ' 15:00'), concat('1', date_format(day, 'yyyy-MM-dd')),
+            concat(' ', date_format(day, 'yyyy-MM-dd')), concat(date_format(day, 'yyyy'), '-02-30')
+        ), form) AS MatchDate"""
+    )
+    return cast_columns(forms, "match_date", keep=["MatchDate"])
+
+
+def safe_cast_int_halves(spark, sf_dir):
+    """Negative and half goals, which round away from zero."""
+    goals = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "cast(l_orderkey % 21 - 10 AS DOUBLE) / 2 AS FTHome",
+        "cast(l_partkey % 41 - 20 AS DOUBLE) / 4 AS FTAway",
+    )
+    return cast_columns(goals, "home_goals_ft", "away_goals_ft", keep=["FTHome", "FTAway"])
+
+
 def surrogate_key(spark, sf_dir):
     return cast_columns(matches(spark, sf_dir), "match_id", keep=S.KEY_COLUMNS)
 
@@ -210,15 +273,9 @@ def dq_unique(spark, sf_dir):
 def dq_accepted_values(spark, sf_dir):
     return union(
         [
-            quality.unaccepted(df, c.column, c.values).select(
-                F.lit(name).alias("model"),
-                F.lit(c.column).alias("column_name"),
-                F.col(c.column).alias("value"),
-                "occurrences",
-            )
+            quality.unaccepted_values(df, [c for c in checks if c.test == "accepted_values"])
+            .withColumn("model", F.lit(name))
             for name, df, checks in models(spark, sf_dir)
-            for c in checks
-            if c.test == "accepted_values"
         ]
     )
 
@@ -239,6 +296,12 @@ def dq_unique_lineitem(spark, sf_dir):
     return quality.duplicates(lineitem, ["l_orderkey", "l_linenumber"])
 
 
+def dq_relationships_orders_lineitem(spark, sf_dir):
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return quality.orphans(orders, "o_orderkey", lineitem, "l_orderkey")
+
+
 def dq_relationships_lineitem_orders(spark, sf_dir):
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -284,12 +347,15 @@ def core_queries() -> dict[str, Query]:
         "csv_quoted_newline": csv_quoted_newline,
         "bronze_rebuild_idempotent": bronze_rebuild_idempotent,
         "seed_leagues": seed_leagues,
-        "stg_matches": silver,
+        "stg_matches": silver_view,
         "fct_matches": mart,
         "mart_write_readback": stored_mart,
         "mart_date_range_pruned": mart_date_range_pruned,
         "medallion_end_to_end": medallion_end_to_end,
+        "medallion_test_report": medallion_test_report,
         "safe_cast_date": safe_cast_date,
+        "safe_cast_date_forms": safe_cast_date_forms,
+        "safe_cast_int_halves": safe_cast_int_halves,
         "safe_cast_int": casts_of("int"),
         "safe_cast_double": casts_of("double"),
         "surrogate_key": surrogate_key,
@@ -305,7 +371,7 @@ def core_queries() -> dict[str, Query]:
         "filter_required_cast": filter_required_cast,
         "enrich_left_join": enrich_left_join,
         **{
-            name: lambda spark, sf_dir, kpi=kpi: kpi(mart(spark, sf_dir))
+            name: lambda spark, sf_dir, kpi=kpi: kpi(published_mart(spark, sf_dir))
             for name, kpi in kpis.KPIS.items()
         },
         "dq_not_null": dq_not_null,
@@ -315,4 +381,5 @@ def core_queries() -> dict[str, Query]:
         "dq_report": dq_report,
         "dq_unique_lineitem": dq_unique_lineitem,
         "dq_relationships_lineitem_orders": dq_relationships_lineitem_orders,
+        "dq_relationships_orders_lineitem": dq_relationships_orders_lineitem,
     }

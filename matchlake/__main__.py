@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from matchlake.operators.kpis import KPIS
 from matchlake.operators.quality import gate
 from matchlake.plans.build import (
@@ -40,6 +42,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def show(rows: DataFrame) -> None:
+    """All rows, tab-separated, fetched one partition at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session("matchlake")
@@ -62,10 +71,10 @@ def main(argv: list[str] | None = None) -> None:
         open_layers(spark, cfg)
     if args.command == "test":
         report = quality_report(spark, cfg)
-        report.orderBy("model", "column_name", "test").show(50, truncate=False)
+        show(report.orderBy("model", "column_name", "test"))
         gate(report)
     else:
-        KPIS[args.name](read_mart(spark, names.table("mart", MART_TABLE))).show(1000, truncate=False)
+        show(KPIS[args.name](read_mart(spark, names.table("mart", MART_TABLE))))
 
 
 if __name__ == "__main__":

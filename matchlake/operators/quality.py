@@ -75,6 +75,16 @@ def unaccepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     return rejected.groupBy(column).agg(F.count("*").alias("occurrences"))
 
 
+def unaccepted_values(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(column_name, value, occurrences) of all values outside their lists, in one scan."""
+    rejected = [
+        F.when(~F.col(c.column).isin(*c.values), F.col(c.column).cast("string")).alias(c.column) for c in checks
+    ]
+    values = df.select(*rejected).unpivot([], [c.column for c in checks], "column_name", "value")
+    counts = values.where("value IS NOT NULL").groupBy("column_name", "value")
+    return counts.agg(F.count("*").alias("occurrences"))
+
+
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values missing from the parent, with the number of child rows.
 

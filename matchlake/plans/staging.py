@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from matchlake.functions.casts import CAST_BY_KIND, match_year, surrogate_key
-from matchlake.operators.enrich import with_league
-from matchlake.operators.filters import required_raw
-from matchlake.schemas import KEY_COLUMNS, REQUIRED_RAW, SILVER_COLUMNS, STAGED
+from matchlake.schemas import KEY_COLUMNS, REQUIRED_RAW, STAGED
 
 # Staged column -> SQL expression over the bronze columns.
 STAGED_SQL = {
@@ -25,26 +23,30 @@ def cast_columns(raw: DataFrame, *names: str, keep: Sequence[str] = ()) -> DataF
     return raw.selectExpr(*keep, *[f"{STAGED_SQL[n]} AS {n}" for n in names or STAGED_SQL])
 
 
-def stage(raw: DataFrame, leagues: DataFrame) -> DataFrame:
-    return (
-        raw.transform(required_raw)
-        .transform(cast_columns)
-        .transform(with_league, leagues)
-        .withColumn("match_year", F.expr(match_year("match_date")))
-        .select(*SILVER_COLUMNS)
-    )
-
-
-def publish_view(spark: SparkSession, view: str, raw_table: str, leagues_table: str) -> None:
-    """The same model as a catalog view, for SQL users; nothing is computed until it is read."""
+def silver_sql(raw: str, leagues: str) -> str:
+    """The silver model as a statement over two relations, for SQL users and for ``stage``."""
     staged = ",\n  ".join(f"{sql} AS {name}" for name, sql in STAGED_SQL.items())
     required = " AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_RAW)
-    spark.sql(
-        f"""
-        CREATE OR REPLACE VIEW {view} AS
-        WITH staged AS (SELECT {staged} FROM {raw_table} WHERE {required})
+    return f"""
+        WITH staged AS (SELECT {staged} FROM {raw} WHERE {required})
         SELECT s.*, d.country AS country, d.league_name AS league_name,
                {match_year("s.match_date")} AS match_year
-        FROM staged s LEFT JOIN {leagues_table} d ON s.division = d.code
+        FROM staged s LEFT JOIN {leagues} d ON s.division = d.code
         """
-    )
+
+
+def stage(raw: DataFrame, leagues: DataFrame) -> DataFrame:
+    """The silver model over two DataFrames."""
+    spark, run = raw.sparkSession, uuid.uuid4().hex
+    names = [f"raw_{run}", f"leagues_{run}"]
+    for name, df in zip(names, (raw, leagues)):
+        df.createOrReplaceTempView(name)
+    silver = spark.sql(silver_sql(*names))
+    for name in names:  # the plan holds the relations, not their names
+        spark.catalog.dropTempView(name)
+    return silver
+
+
+def publish_view(spark: SparkSession, view: str, raw_table: str, leagues_table: str) -> None:
+    """The same model as a catalog view; nothing is computed until it is read."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {silver_sql(raw_table, leagues_table)}")

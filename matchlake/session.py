@@ -19,8 +19,11 @@ SETTINGS = {
     # HotSpot does not compile methods beyond this size; wider generated stages run faster
     # as separate operators than interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Where files are cut must not depend on the cores a scan finds: see the CSV scan.
+    "spark.sql.files.minPartitionNum": "64",
     "spark.ui.enabled": "false",
 }
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def build_session(app: str, master: str | None = None, **overrides: str) -> SparkSession:
@@ -42,6 +45,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="matchlake-"))
-        base = context.getCheckpointDir()
+        if context.applicationId not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="matchlake-")
+        base = _LOCAL_SCRATCH[context.applicationId]
     return f"{base.rstrip('/')}/matchlake/{label}-{uuid.uuid4().hex}"

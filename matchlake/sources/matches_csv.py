@@ -1,31 +1,37 @@
 """Strict CSV scan of match files.
 
-The declared 48 columns are read by position, one header record per file is
-skipped, and a record with missing, extra or unreadable fields stops the job.
-
-Fields may hold line breaks inside quotes. Spark's ``multiLine`` reader gives a
-whole file to one task, which a single huge file does not survive, so the scan is
-split here instead. A double quote inside a field is written twice, hence a line
-with an odd number of quotes opens or closes a field that spans lines:
-
-* files without such a line go through the ordinary, splittable CSV reader;
-* in the other files only the blocks that touch a spanning field are regrouped;
-  every other block is parsed line by line, without a shuffle.
+The declared 48 columns are read by position, the first record of every file is its header,
+and a record with missing, extra or unreadable fields stops the job.
+
+A record ends at LF, CRLF or CR outside quotes; blank records are skipped. A field may hold any
+of them inside quotes, where a quote is written twice. Every file is read by the same rules,
+whatever stands in it; a quote that neither encloses a field nor is doubled is an error.
+
+Spark's ``multiLine`` reader would give a whole file to one task. Here files are read as lines
+(up to LF), by blocks of a fixed size. A line with an odd number of quotes opens or closes a
+field that goes on in other lines. One scan adds up quotes per block, and a prefix sum over a
+file's blocks tells which of them such fields touch. A second scan parses the lines of all
+other blocks where they are, without a shuffle as long as the list of touched blocks can be
+broadcast. Only if there are touched blocks, their lines alone are read once more and put
+together by record.
 """
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from matchlake.schemas import BRONZE
-from matchlake.session import scratch_path
+from matchlake.session import SETTINGS
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST", "encoding": "UTF-8"}
+# A record may cover this much of whole blocks, besides its part of the first and the last one.
+MAX_RECORD_BYTES = 64 << 20
+SPLITS = "spark.sql.files.minPartitionNum"
+BLOCK = ["file", "block"]
+# Runs of quoted parts and of other characters up to the end of the record.
+RECORD = r'(?:[^"\r\n]++|"[^"]*+")++'
 
 
 def read_matches_csv(
@@ -36,44 +42,28 @@ def read_matches_csv(
 ) -> DataFrame:
     """Rows of all match files under ``path``.
 
-    ``allow_quoted_newlines=False`` skips the scan that looks for spanning fields; a
-    file that has one anyway is then rejected as malformed.
+    With ``allow_quoted_newlines=False`` a field that holds a line end is malformed.
     """
-    if not allow_quoted_newlines:
-        return _split_scan(spark, path, schema)
-
-    # At most one row per file, like the file listing the driver keeps anyway.
-    per_file = _lines(spark, path).groupBy("file").agg(F.sum("odd").alias("odd_lines"))
-    per_file = _stored(spark, per_file, "csv-files")
-    spanning = {f.file: f.odd_lines for f in per_file.where("odd_lines > 0").collect()}
-    if not spanning:
-        return _split_scan(spark, path, schema)
-    torn = sorted(f for f, odd_lines in spanning.items() if odd_lines % 2)
-    if torn:
-        raise ValueError(f"quoted field never closed in {len(torn)} file(s), first: {torn[0]}")
-    rows = _regrouped_scan(spark, sorted(map(_as_path, spanning)), schema)
-    plain = [_as_path(f.file) for f in per_file.where("odd_lines = 0").collect()]
-    return rows.unionByName(_split_scan(spark, sorted(plain), schema)) if plain else rows
-
-
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def _as_path(uri: str) -> str:
-    """File metadata gives encoded URIs, readers take plain paths with glob characters."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
-
-
-def _split_scan(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    rows = spark.read.schema(schema).options(header="true", **CSV_OPTIONS).csv(path)
-    return rows.select(*schema.fieldNames())
+    if spark.conf.get(SPLITS, None) is None:  # both scans must cut the files alike
+        spark.conf.set(SPLITS, SETTINGS[SPLITS])
+    lines = _lines(spark, path)
+    marks = _marks(lines, allow_quoted_newlines)
+    heads = marks.select(*BLOCK, "header_at", "touched")
+    untouched = (
+        lines.join(heads, BLOCK, "left")
+        .where("NOT coalesce(touched, false)")
+        .select("value", F.expr("coalesce(pos = header_at, false)").alias("header"))
+    )
+    chunks = untouched.unionByName(_joined_lines(lines, marks.where("touched")))
+    return (
+        chunks.select(F.explode(_records("value", "header")).alias("value"))
+        .select(F.from_csv(_well_quoted(F.col("value")), schema.toDDL(), CSV_OPTIONS).alias("row"))
+        .select("row.*")
+    )
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Physical lines with their file, the block they were read in and their order there."""
+    """Lines up to LF with their file, the block they were read in and their order there."""
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     return (
         spark.read.option("lineSep", "\n")
@@ -88,75 +78,87 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _regrouped_scan(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
-    block = ["file", "block"]
-    # Where Spark cuts a file depends on the cores it has at that moment, so the lines are
-    # stored with their block and order before anything is concluded from them.
-    lines = _stored(spark, _lines(spark, files), "csv-lines")
-    odd_pos = F.when(F.col("odd") == 1, F.col("pos"))
-    summary = lines.groupBy(*block).agg(
-        F.sum("odd").alias("odd_lines"),
-        F.min(odd_pos).alias("first_odd"),
-        F.max(odd_pos).alias("last_odd"),
-        F.min("pos").alias("first_pos"),
-    )
-    # One small row per block; stored, so that its real size decides how it is joined. Odd
-    # lines open and close spanning records in turn, so the number of odd lines before a
-    # line tells whether it starts inside a field, and halved it numbers the record.
-    earlier_blocks = (
-        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    touched = (
-        _stored(spark, summary, "csv-blocks")
-        .withColumn("odd_before", F.coalesce(F.sum("odd_lines").over(earlier_blocks), F.lit(0)))
-        .withColumn("odd_after", F.col("odd_before") + F.col("odd_lines"))
-        # block 0 holds the header
-        .where("odd_lines > 0 OR odd_before % 2 = 1 OR block = 0")
-        .drop("odd_lines")
-    )
-    filled = F.col("value").rlike(r"\S")  # blank lines between records are skipped
-    untouched = lines.where(filled).join(touched, block, "left_anti").select("value")
-    regrouped = (
-        lines.join(touched, block)
-        .withColumn("from_earlier", F.expr("odd_before % 2 = 1 AND pos <= coalesce(first_odd, pos)"))
-        .withColumn("into_later", F.expr("odd_after % 2 = 1 AND pos >= coalesce(last_odd, pos)"))
-        .withColumn("header", F.expr("block = 0 AND pos = first_pos"))
-    )
+def _marks(lines: DataFrame, allow_quoted_newlines: bool) -> DataFrame:
+    """The blocks that hold a file's header or touch a field that goes over several lines.
 
-    # Records that cross a block edge: at most two per block, numbered within the file.
-    crossing = (
-        regrouped.where("from_earlier OR into_later")
-        .withColumn("record", F.expr("if(from_earlier, odd_before, odd_after) div 2"))
-        .groupBy("file", "record")
+    Odd lines open and close such fields in turn, so the number of odd lines before a line
+    tells whether it starts inside a field, and halved it numbers the record.
+    """
+    odd_at = F.when(F.col("odd") == 1, F.col("pos"))
+    filled_at = F.when(F.col("value").rlike(r"\S"), F.col("pos"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("file")
+    # blocks that lie as a whole inside one field
+    inside = Window.partitionBy("file", "odd_before")
+    blocks = (
+        lines.groupBy(*BLOCK)
         .agg(
-            F.sort_array(F.collect_list(F.struct("block", "pos", "value"))).alias("pieces"),
-            F.max("header").alias("header"),
+            F.sum("odd").alias("odd_lines"),
+            F.min(filled_at).alias("filled_at"),
+            F.sum(F.octet_length("value") + 1).alias("size"),
         )
-    )
-    # All others begin and end in their block, and are grouped where the window left them.
-    in_block = Window.partitionBy(*block).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    inner = (
-        regrouped.where("NOT (from_earlier OR into_later)")
-        .withColumn("odd_seen", F.sum("odd").over(in_block) - F.col("odd"))
-        .withColumn("whole", F.expr("odd_seen % 2 = 0 AND odd = 0"))
-        .where(~F.col("whole") | filled)
-        .withColumn("record", F.expr("if(whole, pos, -1 - odd_seen div 2)"))
-        .groupBy(*block, "record")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("pieces"),
-            F.max("header").alias("header"),
+        .withColumns(
+            {
+                "odd_before": F.coalesce(F.sum("odd_lines").over(before), F.lit(0)),
+                "odd_in_file": F.sum("odd_lines").over(whole),
+                "first": F.min(F.when(F.col("filled_at").isNotNull(), F.struct("block", "filled_at"))).over(whole),
+            }
         )
+        .withColumn("covered", F.sum(F.expr("if(odd_lines = 0 AND odd_before % 2 = 1, size, 0)")).over(inside))
+    )
+    too_long = F.concat(
+        F.lit("Malformed record: longer than the allowed bytes in "), F.col("file")
     )
-    text = F.array_join("pieces.value", "\n").alias("value")
+    checked = F.when(F.col("odd_in_file") % 2 == 1, _error("quoted field never closed in "))
+    checked = checked.when(F.col("covered") > MAX_RECORD_BYTES, F.raise_error(too_long))
+    if not allow_quoted_newlines:
+        checked = checked.when(F.col("odd_lines") > 0, _error("field with a line end in "))
+    touched = F.expr("odd_lines > 0 OR odd_before % 2 = 1")
+    return blocks.select(
+        *BLOCK,
+        F.expr("if(first.block = block, first.filled_at, NULL)").alias("header_at"),
+        "odd_before",
+        checked.otherwise(touched).cast("boolean").alias("touched"),
+    ).where("touched OR header_at IS NOT NULL")
+
+
+def _error(text: str) -> Column:
+    return F.raise_error(F.concat(F.lit("Malformed record: " + text), F.col("file")))
+
+
+def _joined_lines(lines: DataFrame, touched: DataFrame) -> DataFrame:
+    """Texts with an even number of quotes from the lines of the touched blocks."""
+    in_block = Window.partitionBy(*BLOCK).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    # a field that spans lines is numbered by the odd lines before it in the file; any other
+    # line stands for itself
     return (
-        untouched.unionByName(inner.where("NOT header").select(text))
-        .unionByName(crossing.where("NOT header").select(text))
-        .select(F.rtrim("value", F.lit("\r")).alias("value"))
-        .select(F.from_csv(_well_quoted(F.col("value")), schema.toDDL(), CSV_OPTIONS).alias("row"))
-        .select("row.*")
+        lines.join(touched, BLOCK)
+        .withColumn("odd_seen", F.col("odd_before") + F.sum("odd").over(in_block) - F.col("odd"))
+        .withColumn("record", F.expr("if(odd_seen % 2 = 0 AND odd = 0, -1 - pos, odd_seen div 2)"))
+        .groupBy("file", "record")
+        .agg(
+            F.array_join(
+                F.sort_array(F.collect_list(F.struct("block", "pos", "value")))["value"], "\n"
+            ).alias("value"),
+            F.max(F.expr("coalesce(pos = header_at, false)")).alias("header"),
+        )
+        .select("value", "header")
     )
 
 
+def _records(text: str, header: str) -> Column:
+    """Records of a text, without blank ones and without the first if it is the header.
+
+    Line ends that are still in the text, bare CRs outside quotes among them, are the exception.
+    """
+    parts = F.when(
+        F.col(text).rlike("[\r\n]"), F.regexp_extract_all(text, F.lit(RECORD), F.lit(0))
+    ).otherwise(F.array(text))
+    filled = F.filter(parts, lambda record: record.rlike(r"\S"))
+    return F.slice(filled, F.when(F.col(header), 2).otherwise(1), F.greatest(F.size(filled), F.lit(1)))
+
+
 def _well_quoted(record: Column) -> Column:
     """The record, or an error if a quote neither encloses a whole field nor is doubled.
 

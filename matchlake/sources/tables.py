@@ -1,7 +1,15 @@
-"""Namespaces and stored tables. Every write replaces its target."""
+"""Namespaces and stored tables.
+
+A rebuild is written beside the published table and takes its name only when all rows are
+there, so a failing one leaves the published rows readable. Under a root every version has a
+folder of its own; the newest complete one is the table.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -45,15 +53,74 @@ class Namespaces:
         """Make a table stored under ``root`` known to a catalog that does not remember it."""
         table, path = self.table(layer, name), self.path(layer, name)
         if path and not spark.catalog.tableExists(table):
-            spark.catalog.createTable(table, path=path, source="parquet")
+            complete = versions(spark, path)
+            if not complete:
+                raise FileNotFoundError(f"no complete version of {table} under {path}")
+            spark.catalog.createTable(table, path=complete[-1], source="parquet")
             if any(column.isPartition for column in spark.catalog.listColumns(table)):
                 spark.catalog.recoverPartitions(table)  # else it reads as empty
 
 
+def _folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a table under its folder, the oldest first."""
+    files, place = _folder(spark, path)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+    found = sorted(n for n in names if n.startswith("v-"))
+    marks = [(f"{path}/{n}", _folder(spark, f"{path}/{n}/_SUCCESS")[1]) for n in found]
+    return [version for version, mark in marks if files.exists(mark)]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, place = _folder(spark, path)
+    files.delete(place, True)
+
+
+def publish(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Full rebuild of a Parquet table: write it all, then switch the name over.
+
+    Without a path the versions lie in the database's folder. Every version has its location,
+    so that a rename moves no files.
+    """
+    spark = df.sparkSession
+    run = uuid.uuid4().hex
+    staged, retired = f"{name}__new_{run}", f"{name}__old_{run}"
+    database, _, table = name.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = path or f"{home}/{table}"
+    version = f"{path}/v-{time.time_ns():020d}-{run}"
+    writer = df.write.format("parquet").option("partitionOverwriteMode", "static")
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    try:
+        writer.option("path", version).saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        _remove(spark, version)
+        raise
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {retired}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {retired} RENAME TO {name}")
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE {retired}")
+    for old in versions(spark, path):
+        if old != version:
+            _remove(spark, old)
+
+
 def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Full rebuild of a Parquet table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    publish(df, name, path)
 
 
 def lay_out_mart(mart: DataFrame) -> DataFrame:
@@ -68,14 +135,7 @@ def lay_out_mart(mart: DataFrame) -> DataFrame:
 
 
 def write_mart(mart: DataFrame, name: str, path: str | None = None) -> None:
-    writer = (
-        lay_out_mart(mart)
-        .write.mode("overwrite")
-        .format("parquet")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("match_year")
-    )
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    publish(lay_out_mart(mart), name, path, ["match_year"])
 
 
 def as_mart(df: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import datetime
 import glob
+from dataclasses import replace
 
 import pyarrow.parquet as pq
 import pytest
+from compare import differences, duck
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -12,6 +14,7 @@ from matchlake.fixtures import matches
 from matchlake.operators import quality
 from matchlake.operators.enrich import with_league
 from matchlake.operators.quality import Check, QualityError, gate, run_suite
+from matchlake.plans import staging
 from matchlake.plans.build import BuildConfig, quality_report, run_build
 from matchlake.plans.mart import build_mart
 from matchlake.plans.staging import cast_columns, stage
@@ -112,7 +115,7 @@ def stored(spark, mart, name):
 def test_mart_layout(spark):
     path, mart = stored(spark, entry.mart(spark, SF), "layout_mart")
     assert mart.columns == MART_COLUMNS
-    files = glob.glob(f"{path}/match_year=*/*.parquet")
+    files = glob.glob(f"{path}/v-*/match_year=*/*.parquet")
     assert {f.split("match_year=")[1][:4] for f in files} == {str(y) for y in range(1995, 2002)}
     for f in files:
         divisions = pq.ParquetFile(f).read(columns=["division"])["division"].to_pylist()
@@ -131,7 +134,7 @@ def test_hot_year_is_split_over_tasks(spark, conf, tmp_path):
     )
     source = spark.read.parquet(str(tmp_path / "hot"))
     path, back = stored(spark, source, "hot_mart")
-    files = glob.glob(f"{path}/match_year=1999/*.parquet")
+    files = glob.glob(f"{path}/v-*/match_year=1999/*.parquet")
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in files]
     assert sum(sizes) == source.where("match_year = 1999").count() > 10000
     assert len(sizes) > 3 and max(sizes) < sum(sizes) / 2
@@ -240,6 +243,65 @@ def test_build_runs_twice_with_the_same_result(spark):
     assert view.exceptAll(frame).isEmpty() and frame.exceptAll(view).isEmpty()
 
 
+@pytest.mark.parametrize("root", [True, False])
+@pytest.mark.parametrize("layer", ["bronze", "mart"])
+def test_failing_rebuild_leaves_the_published_layers(spark, monkeypatch, layer, root):
+    label = f"gap_{layer}_{root}".lower()
+    folder, cfg = build_config(spark, label)
+    if not root:
+        cfg = replace(cfg, namespaces=replace(cfg.namespaces, root=None))
+    rows = clean(matches(spark, "/root/testdata/sf0.001"))
+    entry.land_csv(rows, cfg.matches_csv)
+    before = run_build(spark, cfg).collect()
+    if layer == "bronze":
+        entry.land_csv(rows.withColumn("C_PHB", F.lit("no number")), cfg.matches_csv)
+    else:
+        bad = F.raise_error(F.lit("a bad mart row")).cast("bigint")
+        monkeypatch.setattr(
+            "matchlake.plans.build.build_mart", lambda silver: build_mart(silver).withColumn("total_goals", bad)
+        )
+    with pytest.raises(Exception, match="(?i)malformed|a bad mart row"):
+        run_build(spark, cfg)
+    names = cfg.namespaces
+    assert spark.table(names.table("raw", "raw_matches")).count() == rows.count()
+    assert spark.table(names.table("staging", "stg_matches")).count() > len(before) > 0
+    mart = tables.read_mart(spark, names.table("mart", "fct_european_matches"))
+    assert sorted(mart.collect(), key=str) == sorted(before, key=str)
+    for database in (names.database("raw"), names.database("mart")):
+        assert not [t.name for t in spark.catalog.listTables(database) if "__" in t.name]
+    if root:
+        assert len(glob.glob(f"{folder.removeprefix('file:')}/*_mart/fct_european_matches/v-*")) == 1
+
+
+def test_year_predicate_prunes_a_plain_date_filter_does_not(spark):
+    """What the README says about SQL over the published mart."""
+    table = entry.published(spark, SF)[1]
+    by_date = f"SELECT count(*) FROM {table} WHERE match_date >= date'1997-01-01'"
+    filters = [plan_of(spark.sql(q)).split("PartitionFilters: [")[1].split("]")[0] for q in (
+        by_date, by_date + " AND match_year >= 1997"
+    )]
+    assert "match_year" not in filters[0] and "1997" in filters[1]
+
+
+def test_kpis_read_only_their_columns(spark):
+    needed = {"league_name", "scoring_category"}
+    plan = plan_of(entry.core_queries()["kpi_scoring_share_by_league"](spark, SF))
+    schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert {f.split(":")[0] for f in schema.split(",")} == needed and "lineitem" not in plan
+
+
+def test_a_swapped_column_pair_is_noticed(spark, monkeypatch):
+    wrong = dict(staging.STAGED_SQL)
+    wrong["home_shots"], wrong["away_shots"] = wrong["away_shots"], wrong["home_shots"]
+    monkeypatch.setattr(staging, "STAGED_SQL", wrong)
+    sf_dir = "/root/testdata/sf0.001"
+    assert differences(entry.silver(spark, sf_dir), duck(sf_dir), entry.oracle_sql()["stg_matches"])
+
+
+def test_accepted_values_take_one_scan_per_model(spark):
+    assert plan_of(entry.dq_accepted_values(spark, SF)).count("FileScan parquet") == 2
+
+
 def test_rebuild_drops_years_that_are_gone(spark, conf):
     conf(spark__sql__sources__partitionOverwriteMode="dynamic")
     root, cfg = build_config(spark, "shrink", stop_on_failed_tests=False)
