@@ -40,6 +40,11 @@ def filled_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
 
 
+def drawn(order: Column, share: Column) -> Column:
+    """Whether a 64-bit hash is within a share of its range: a draw that a few rows pass."""
+    return F.pmod(order, F.lit(1 << 31)) < share * (1 << 31)
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Hand Python tasks smaller batches of long texts than Spark's 10,000 rows.
 

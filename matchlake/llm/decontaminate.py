@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches
+from matchlake.llm.common import bounded_batches, filled_id, saved, text_key
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -33,6 +33,7 @@ BLOCK = 8
 SHARD_ITEMS = 2_000
 SHARD_BYTES = 8 << 20
 K1, B = 1.2, 0.75
+KEY = ["__held_id", "__held_text"]
 
 _WORDS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -162,18 +163,26 @@ def shards(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
-def matched_items(benchmark: DataFrame):
-    """A column function: sorted ids of the items that a text holds."""
-    bounded_batches(benchmark.sparkSession)
-    context = benchmark.sparkSession.sparkContext
-    shared = [context.broadcast(items) for items in shards(benchmark)]
+def held_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``id_key, text_hash, item_ids`` of the documents that hold items.
 
-    def column(text):
-        none = F.array().cast("array<long>")
-        parts = [_matcher(items)(text) for items in shared]
-        return F.array_sort(F.array_distinct(F.concat(none, *parts)))
-
-    return column
+    One shard of the index after the other: each is broadcast, its hits are stored, and it is
+    let go before the next.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    rows = docs.select(
+        filled_id(F.col("doc_id")).alias(KEY[0]),
+        text_key(F.col("text")).alias(KEY[1]),
+        F.col("text").cast("string").alias("text"),
+    )
+    hits = spark.createDataFrame([], f"{KEY[0]} long, {KEY[1]} long, item_id long")
+    for items in shards(benchmark):
+        shared = spark.sparkContext.broadcast(items)
+        found = rows.select(*KEY, F.explode(_matcher(shared)("text")).alias("item_id"))
+        hits = hits.unionByName(saved(found, "held-items"))
+        shared.unpersist()
+    return hits.groupBy(*KEY).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
 
 
 def _matcher(items):
@@ -193,12 +202,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the same id are one item; repeated documents get a row each; empty tables on either side
     give no matches; other columns are ignored.
     """
-    held = matched_items(benchmark)
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held(F.col("text").cast("string")).alias("item_ids")
-    ).select("doc_id", "item_ids", F.size("item_ids").alias("n_items"), (F.size("item_ids") > 0).alias("contaminated"))
+    held = saved(held_items(docs, benchmark), "contaminated")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        filled_id(F.col("doc_id")).alias(KEY[0]),
+        text_key(F.col("text")).alias(KEY[1]),
+    )
+    none = F.array().cast("array<long>")
+    return rows.join(held, KEY, "left").select(
+        "doc_id",
+        F.coalesce("item_ids", none).alias("item_ids"),
+        F.size(F.coalesce("item_ids", none)).alias("n_items"),
+        F.col("item_ids").isNotNull().alias("contaminated"),
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    return docs.where(F.size(matched_items(benchmark)(F.col("text").cast("string"))) == 0)
+    held = saved(held_items(docs, benchmark).select(*KEY), "contaminated")
+    keyed = docs.withColumns(dict(zip(KEY, (filled_id(F.col("doc_id")), text_key(F.col("text"))))))
+    return keyed.join(held, KEY, "left_anti").drop(*KEY)

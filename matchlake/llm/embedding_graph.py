@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import saved
+from matchlake.llm.common import drawn, saved
 from matchlake.llm.components import connected_components
 
 COSINE = 0.98
@@ -206,13 +206,15 @@ def _vertices(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _pivots(vertices: DataFrame) -> dict[tuple[int, int], np.ndarray]:
-    """Vectors with the smallest hashes of each label, one for about ``SHARD`` of them."""
+    """Vectors of each label drawn by their hashes, one for about ``SHARD`` of them."""
     sizes = vertices.groupBy(*GROUP).agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     shard = max(SHARD, -(-total // MOST_PIVOTS))
     wanted = sizes.select(*GROUP, F.ceil(F.col("n") / shard).alias("wanted")).where("wanted > 1")
     order = Window.partitionBy(*GROUP).orderBy(F.xxhash64("node"), "node")
-    ranked = vertices.join(wanted, GROUP).withColumn("rank", F.row_number().over(order))
+    # a few times the pivots wanted are ranked, however many vectors a label has
+    some = vertices.where(drawn(F.xxhash64("node"), F.lit(4.0 / shard)))
+    ranked = some.join(wanted, GROUP).withColumn("rank", F.row_number().over(order))
     # at most MOST_PIVOTS and one more for each label with several shards
     rows = ranked.where("rank <= wanted").orderBy(*GROUP, "rank").collect()
     out: dict[tuple[int, int], list] = {}

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches, fold, text_key
+from matchlake.llm.common import bounded_batches, drawn, fold, text_key
 
 NGRAMS = (2, 3, 4)
 BUCKET_BITS = 16
@@ -139,8 +139,8 @@ def _calibrate(table: np.ndarray, held: list[tuple]) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE) -> Model:
-    """A model from text and ``lang`` of the training fold: per language the rows with the
-    smallest hashes, at most ``SAMPLE_BYTES`` of text in all."""
+    """A model from text and ``lang`` of the training fold: of each language at most
+    ``rows_per_language`` rows drawn by hash, at most ``SAMPLE_BYTES`` of text in all."""
     modulus, held_out = HELD_OUT
     rows = docs.select(
         F.col("text").cast("string").alias("text"),
@@ -148,8 +148,13 @@ def train(docs: DataFrame, rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE) ->
         F.xxhash64("doc_id").alias("order"),
         text_key(F.col("text")).alias("hash"),
         fold(F.col("doc_id"), modulus).alias("fold"),
-    ).where((F.col("fold") != held_out) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    ranked = rows.withColumn(
+    ).where((F.col("fold") != held_out) & F.col("lang").isNotNull())
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # a few times the rows wanted of each language are ranked, however many there are
+    some = rows.join(sizes, "lang").where(
+        (F.length("text") > 0) & drawn(F.col("hash"), F.lit(4.0 * rows_per_language) / F.col("n"))
+    )
+    ranked = some.withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "hash"))
     ).where(F.col("rank") <= rows_per_language)
     texts, langs, size = [], [], 0

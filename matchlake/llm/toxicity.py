@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches, fold
+from matchlake.llm.common import bounded_batches, drawn, fold
 
 FEATURES = 1 << 18
 # Bounds of the training sample: rows of either kind, and features over all rows.
@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """A model from the labelled training rows; the fold ``HELD_OUT`` is never read.
 
     A document labelled more than once is toxic if any label says so. The prior is the share
-    of toxic labels. The sample takes the rows with the smallest hash of their id.
+    of toxic labels. The sample is drawn by hashes of the ids.
     """
     bounded_batches(docs.sparkSession)
     modulus, held_out = HELD_OUT
@@ -144,11 +144,16 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    order = F.xxhash64("doc_id")
-    any_label = known.orderBy(order, "doc_id").limit(sample_rows).withColumn("unlabelled", F.lit(True))
-    confirmed = known.where("toxic = 1").orderBy(order, "doc_id").limit(sample_rows)
     counts = known.agg(F.count("*"), F.sum(F.expr("int(toxic = 1)"))).first()
     prior = min(max((counts[1] or 0) / max(counts[0], 1), 1e-4), 0.9)
+    order = F.xxhash64("doc_id")
+
+    def smallest(rows: DataFrame, n: int) -> DataFrame:
+        share = F.lit(2.0 * sample_rows / max(n, 1))
+        return rows.where(drawn(order, share)).orderBy(order, "doc_id").limit(sample_rows)
+
+    any_label = smallest(known, counts[0]).withColumn("unlabelled", F.lit(True))
+    confirmed = smallest(known.where("toxic = 1"), counts[1] or 0)
     chosen = (
         any_label.unionByName(confirmed.withColumn("unlabelled", F.lit(False)))
         .groupBy("doc_id")
