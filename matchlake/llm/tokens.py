@@ -7,11 +7,14 @@ ids of its words in order. Words repeat, hence each worker keeps the ids of thos
 from __future__ import annotations
 
 import os
+import sys
+import unicodedata
 from array import array
+from types import ModuleType
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 1_200_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -20,21 +23,63 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
+# The vocabulary's alphabet: printable Latin-1 bytes stand for themselves, others follow from 256.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
+def _is_plain_word(text: str) -> bool:
+    """Lower-case Latin letters only, composed: one piece that no rule changes or splits."""
+    if not text.isalpha():
+        return False
+    return text.isascii() or (
+        max(text) < "\u0250" and text == text.lower() and unicodedata.is_normalized("NFC", text)
+    )
+
+
+def _kept_by_worker(key: tuple) -> dict:
+    """A dict that later tasks of the same Python worker find again."""
+    module = sys.modules.setdefault("_word_ids_of_worker", ModuleType("_word_ids_of_worker"))
+    return module.__dict__.setdefault(key, {})
+
+
+def _core(word: bytes) -> tuple[bytes, bytes]:
+    """The word in lower case and the full stop or comma after it.
+
+    The vocabulary lower-cases all text, and a mark after a letter is a token of its own.
+    """
+    word = word.lower()
+    if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
+        return word[:-1], word[-1:]
+    return word, b""
+
+
 class WordIds:
     def __init__(self, path: str, code: str = "I", special_tokens_are_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_tokens_are_text
         self.code = code  # "I": 32 bits, "H": 16 bits
-        self.seen: dict[bytes, bytes] = {}
+        self.tokenizer.encode_special_tokens = special_tokens_are_text
+        self.seen: dict[bytes, bytes] = _kept_by_worker((path, code, special_tokens_are_text))
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for word, ids in zip(words, encoded):
-            self.seen[word] = array(self.code, ids.ids).tobytes()
+        seen, cores = self.seen, [_core(w) for w in words]
+        fresh = list({part for core in cores for part in core if part and part not in seen})
+        split, mixed = self.tokenizer.model.tokenize, []
+        for word in fresh:
+            text = word.decode("utf-8", "replace")
+            if _is_plain_word(text):  # straight to the merges
+                tokens = split(word.decode("latin-1").translate(_ALPHABET))
+                seen[word] = array(self.code, [t.id for t in tokens]).tobytes()
+            else:
+                mixed.append((word, text))
+        encoded = self.tokenizer.encode_batch_fast([t for _, t in mixed], add_special_tokens=False)
+        for (word, _), ids in zip(mixed, encoded):
+            seen[word] = array(self.code, ids.ids).tobytes()
+        for word, (core, mark) in zip(words, cores):
+            seen[word] = seen[core] + seen[mark] if mark else seen[core]
 
     def raw(self, text: str | None) -> bytes:
         """The text's ids as little-endian integers, without an end id; empty for a null."""
