@@ -3,7 +3,7 @@
 Vectors of a label are dealt to overlapping shards around pivots: to the nearest pivot (home)
 and to all that are nearly as near. In every shard a flat graph is built with robust pruning;
 a vector's neighbour lists of all its shards are joined to one. Every vector is then a query
-in its home shard: a greedy search from the medoid, and from the vector itself where it is a
+in its home shard: a greedy search from medoids, and from the vector itself where it is a
 member, whose result is expanded along the graph as long as vertices stay near. What it finds
 is verified by the exact cosine. Recall is audited against brute force.
 
@@ -25,10 +25,11 @@ COSINE = 0.98
 EXPAND_COSINE = 0.95  # vertices this near are expanded, though only COSINE links
 SHARD = 1_500  # vectors wanted around a pivot
 MOST_PIVOTS = 16_384  # bounds what is broadcast; more vectors make larger shards
-PART = 3_000  # members, or queries, of a shard in one task
+PART = 8_000  # members, or queries, of a shard in one task
 MARGIN = np.deg2rad(12.0)  # shards whose pivot is at most this much farther hold the vector too
 POOL, DEGREE, ALPHA = 48, 24, 1.2
-BEAM = 16
+BEAM = 24
+MEDOIDS = 64
 AUDITED = 256
 GROUP = ["label", "dim"]
 NODES = "node long, weight long, label long, dim int, unit binary"
@@ -80,7 +81,10 @@ def build_graph(vectors: np.ndarray) -> list[np.ndarray]:
     for at in range(0, n, 256):
         of = np.arange(at, min(n, at + 256))
         out[of] = _prune(*_nearest(vectors, of, size), vectors)
-    # an edge back from each neighbour; crowded vertices are pruned once more
+    # an edge back from each neighbour; crowded vertices are pruned once more, but stay the way
+    # to those they are nearest to, so that every vertex can be reached
+    order = np.argsort(out[:, 0], kind="stable")
+    led = np.split(order, np.searchsorted(out[order, 0], np.arange(1, n)))
     u, v = np.repeat(np.arange(n), DEGREE), out.ravel()
     u, v = u[v >= 0], v[v >= 0]
     pairs = np.unique(np.concatenate((u * n + v, v * n + u)))
@@ -88,10 +92,10 @@ def build_graph(vectors: np.ndarray) -> list[np.ndarray]:
     for i, own in enumerate(edges):
         if len(own) > 2 * DEGREE:
             near = vectors[own] @ vectors[i]
-            order = np.argsort(-near, kind="stable")[: 2 * POOL]
-            own = own[order]
-            edges[i] = np.unique(np.append(_prune(own[None], near[order][None], vectors)[0], own[:DEGREE]))
-            edges[i] = edges[i][edges[i] >= 0]
+            nearest = np.argsort(-near, kind="stable")[: 2 * POOL]
+            own = own[nearest]
+            pruned = _prune(own[None], near[nearest][None], vectors)[0]
+            edges[i] = np.unique(np.concatenate((pruned[pruned >= 0], own[:DEGREE], led[i])))
     return edges
 
 
@@ -101,13 +105,21 @@ class Searcher:
     def __init__(self, vectors: np.ndarray, edges: list[np.ndarray]):
         self.vectors = vectors
         self.edges = edges
-        self.medoid = int((vectors @ vectors.mean(axis=0)).argmax())
+        self.medoids = self._medoids()
+
+    def _medoids(self) -> np.ndarray:
+        """The vertices nearest to the means of cells around evenly picked vertices."""
+        picked = np.unique(np.linspace(0, len(self.vectors) - 1, MEDOIDS).astype(np.int64))
+        cell = (self.vectors @ self.vectors[picked].T).argmax(axis=1)
+        means = np.zeros((len(picked), self.vectors.shape[1]))
+        np.add.at(means, cell, self.vectors)
+        return np.unique((self.vectors @ means.T).argmax(axis=0))
 
     def near(self, query: np.ndarray, own: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Vertices with at least the wanted cosine, and their cosines."""
         similarity = np.full(len(self.vectors), -2.0)
         expanded = np.zeros(len(self.vectors), bool)
-        entry = np.array([self.medoid] if own in (-1, self.medoid) else [self.medoid, own])
+        entry = self.medoids if own < 0 else np.union1d(self.medoids, [own])
         similarity[entry] = self.vectors[entry] @ query
         seen = entry
         while True:
