@@ -86,5 +86,26 @@ def queries() -> dict[str, Query]:
     }
 
 
+# The other operators have no SQL form (learned models, token ids, XXH64 fingerprints, byte
+# strings); tests/llm compares them with brute force.
+FLAT_GRAPH_SQL = """
+with recursive vectors as (
+  select distinct vec_id, label, embedding::double[] as e from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as x, b.vec_id as y from vectors a join vectors b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+reached(x, y) as (select x, y from links union select r.x, l.y from reached r join links l on r.y = l.x),
+counts as (select x, count(*) as n from links group by x),
+least_ids as (select x, min(y) as y from reached group by x)
+select v.vec_id, coalesce(c.n, 0) as n_links, least(v.vec_id, coalesce(m.y, v.vec_id)) as component_id,
+  v.vec_id <= coalesce(m.y, v.vec_id) as kept
+from embeddings v left join counts c on c.x = v.vec_id left join least_ids m on m.x = v.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_flat_graph": FLAT_GRAPH_SQL}
