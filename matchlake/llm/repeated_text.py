@@ -137,46 +137,61 @@ def _cut_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=names)
 
 
+def _together(sizes: np.ndarray) -> Iterator[slice]:
+    """Rows in runs whose bytes fit one table of hashes."""
+    at, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if total + size > SEGMENT + LENGTH and i > at:
+            yield slice(at, i)
+            at, total = i, 0
+        total += size
+    if at < len(sizes):
+        yield slice(at, len(sizes))
+
+
 def _block_rows(level: int, above: int | None):
     """Blocks of ``level`` windows by offset, out of a run or out of its open larger blocks."""
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
+
+    def of_rows(rows: pd.DataFrame) -> pd.DataFrame:
+        sizes = rows["bytes"].map(len).to_numpy()
+        base = np.cumsum(sizes) - sizes
+        hashes = Hashes(np.frombuffer(b"".join(map(bytes, rows["bytes"])), np.uint8))
+        last = rows["offset"].to_numpy()
+        first = last - rows["count"].to_numpy() + 1
+        if above is None:
+            n = last // level - first // level + 1
+            own = np.repeat(np.arange(len(rows)), n)
+            blocks = np.arange(n.sum()) - (np.cumsum(n) - n)[own] + (first // level)[own]
+            twins = rows["twin"].to_numpy()[own]
+        else:
+            per = above // level
+            own = np.repeat(np.arange(len(rows)), rows["blocks"].map(len))
+            larger = np.array([(b["block"], b["twin"]) for bs in rows["blocks"] for b in bs], np.int64)
+            own, twins = np.repeat(own, per), np.repeat(larger[:, 1], per)
+            blocks = (larger[:, :1] * per + np.arange(per)).ravel()
+            inside = (blocks * level <= last[own]) & (blocks * level + level > first[own])
+            own, blocks, twins = own[inside], blocks[inside], twins[inside]
+        first, last, base = first[own], last[own], base[own]
+        # a window with offset x starts ``last - x`` bytes into the run
+        low = np.maximum(blocks * level, first)
+        high = np.minimum(blocks * level + level - 1, last)
+        # the core lies in every window of the block, those beyond the run included
+        core = hashes.of(
+            base + last - blocks * level, base + last - (blocks * level + level - 1) + LENGTH
+        )
+        whole = hashes.of(base + last - high, base + last - low + LENGTH)
+        anchor = rows["anchor"].to_numpy().view(np.uint64)[own]
+        core = mix(core ^ mix(anchor + blocks.astype(np.uint64) * np.uint64(_BASE)))
+        whole = mix(whole ^ (low * 512 + high).astype(np.uint64))
+        at_id, lo = rows["at_id"].to_numpy()[own], rows["lo"].to_numpy()[own]
+        parts = (core.view(np.int64), whole.view(np.int64), at_id, lo, blocks, twins)
+        return pd.DataFrame(dict(zip(names, parts)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples():
-                first, last = row.offset - row.count + 1, row.offset
-                if above is None:
-                    blocks = np.arange(first // level, last // level + 1)
-                    twins = np.full(len(blocks), row.twin)
-                else:
-                    per = above // level
-                    larger = np.array([b["block"] for b in row.blocks], np.int64)
-                    blocks = (larger[:, None] * per + np.arange(per)).ravel()
-                    twins = np.repeat([b["twin"] for b in row.blocks], per)
-                    inside = (blocks * level <= last) & (blocks * level + level > first)
-                    blocks, twins = blocks[inside], twins[inside]
-                hashes = Hashes(np.frombuffer(bytes(row.bytes), np.uint8))
-                # a window with offset x starts ``offset - x`` bytes into the run
-                low = np.maximum(blocks * level, first)
-                high = np.minimum(blocks * level + level - 1, last)
-                # the core lies in every window of the block, those beyond the run included
-                core = hashes.of(
-                    np.maximum(last - blocks * level, 0), last - (blocks * level + level - 1) + LENGTH
-                )
-                whole = hashes.of(last - high, last - low + LENGTH)
-                anchor = np.uint64(row.anchor & 0xFFFFFFFFFFFFFFFF)
-                core = mix(core ^ mix(anchor + blocks.astype(np.uint64) * np.uint64(_BASE)))
-                whole = mix(whole ^ (low * 512 + high).astype(np.uint64))
-                n = len(blocks)
-                out.append(
-                    (
-                        core.view(np.int64), whole.view(np.int64), np.full(n, row.at_id),
-                        np.full(n, row.lo), blocks, twins,
-                    )
-                )
-            if out:
-                names = [c.split()[0] for c in BLOCKS.split(", ")]
-                yield pd.DataFrame({k: np.concatenate(v) for k, v in zip(names, zip(*out))})
+            for part in _together(batch["bytes"].map(len).to_numpy()):
+                yield of_rows(batch.iloc[part])
 
     return run
 
