@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches, drawn, fold, text_key
+from matchlake.llm.common import bounded_batches, drawn, fold, saved, text_key
 
 NGRAMS = (2, 3, 4)
 BUCKET_BITS = 16
@@ -149,7 +149,8 @@ def train(docs: DataFrame, rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE) ->
         text_key(F.col("text")).alias("hash"),
         fold(F.col("doc_id"), modulus).alias("fold"),
     ).where((F.col("fold") != held_out) & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # stored, so that its known size decides the join and no text is shuffled for a short list
+    sizes = saved(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
     # a few times the rows wanted of each language are ranked, however many there are
     some = rows.join(sizes, "lang").where(
         (F.length("text") > 0) & drawn(F.col("hash"), F.lit(4.0 * rows_per_language) / F.col("n"))
