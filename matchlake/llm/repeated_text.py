@@ -22,7 +22,6 @@ or blocks one goes on and stands for all, so copies cost no more than one text.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -53,13 +52,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
 def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte values and powers of the base, made once in a task."""
+    if SEGMENT in _TABLES:
+        return _TABLES[SEGMENT]
     values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
     n = SEGMENT + 4 * LENGTH
     up, down = np.ones(n, np.uint64), np.ones(n, np.uint64)
     up[1:], down[1:] = np.uint64(_BASE), np.uint64(_INVERSE)
-    return values, np.cumprod(up), np.cumprod(down)
+    _TABLES[SEGMENT] = values, np.cumprod(up), np.cumprod(down)
+    return _TABLES[SEGMENT]
 
 
 class Hashes:
