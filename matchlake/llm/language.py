@@ -29,6 +29,8 @@ SAMPLE_ROWS_PER_LANGUAGE = 300
 SAMPLE_BYTES = 24 << 20
 ACCEPTED_ACCURACY = 0.99
 UNKNOWN = "und"
+# Letters, and what this Java does not know yet; ``has_letter`` decides.
+MAYBE_LETTER = r"[\p{L}\p{Cn}]"
 _FACTORS = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 
 
@@ -98,10 +100,18 @@ def fit(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 1.0,
     draw = np.random.default_rng(seed)
     target = np.searchsorted(languages, langs)
     examples = _examples(texts, draw)
-    checked = np.arange(len(texts)) % 5 == 4
+    # every fifth text of each language, so that none is checked only
+    checked = pd.Series(langs).groupby(langs).cumcount().to_numpy() % 5 == 4
     vectors = draw.normal(0, 0.1, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     layer = np.zeros((DIMENSIONS, len(languages)), np.float32)
-    train = [(x, target[i]) for i in np.flatnonzero(~checked) for x in examples[i]]
+    # the few texts of a small language are repeated, or the others outweigh it
+    learned = np.bincount(target[~checked], minlength=len(languages))
+    times = learned.max() // learned
+    train = [
+        (x, target[i])
+        for i in np.flatnonzero(~checked)
+        for x in examples[i] * int(times[target[i]])
+    ]
     steps = max(1, epochs * len(train))
     for epoch in range(epochs):
         for k, at in enumerate(draw.permutation(len(train)).tolist()):
@@ -140,26 +150,36 @@ def _calibrate(table: np.ndarray, held: list[tuple]) -> tuple[float, float]:
 
 def train(docs: DataFrame, rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE) -> Model:
     """A model from text and ``lang`` of the training fold: of each language at most
-    ``rows_per_language`` rows drawn by hash, at most ``SAMPLE_BYTES`` of text in all."""
+    ``rows_per_language`` distinct texts drawn by hash, at most ``SAMPLE_BYTES`` of text in all."""
     modulus, held_out = HELD_OUT
+    text = F.col("text").cast("string")
     rows = docs.select(
-        F.col("text").cast("string").alias("text"),
+        text.alias("text"),
         F.col("lang").cast("string").alias("lang"),
         F.xxhash64("doc_id").alias("order"),
-        text_key(F.col("text")).alias("hash"),
+        text_key(text).alias("hash"),
         fold(F.col("doc_id"), modulus).alias("fold"),
-    ).where((F.col("fold") != held_out) & F.col("lang").isNotNull())
-    # stored, so that its known size decides the join and no text is shuffled for a short list
-    sizes = saved(rows.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
-    # a few times the rows wanted of each language are ranked, however many there are
-    some = rows.join(sizes, "lang").where(
-        (F.length("text") > 0) & drawn(F.col("hash"), F.lit(4.0 * rows_per_language) / F.col("n"))
+    ).where(
+        (F.col("fold") != held_out) & F.col("lang").isNotNull() & F.col("text").rlike(MAYBE_LETTER)
+    )
+    # a text counts once, however many rows hold it: the draw is by its hash, so all of them
+    # pass it or none does, and its share has to follow the number of distinct texts
+    distinct = saved(rows.groupBy("lang", "hash").agg(F.min("order").alias("order")), "language-texts")
+    # both stored, so that their known size decides the joins: no language's texts meet in a task
+    sizes = saved(distinct.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
+    # a few times the texts wanted of each language are ranked, however many there are
+    some = distinct.join(sizes, "lang").where(
+        drawn(F.col("hash"), F.lit(4.0 * rows_per_language) / F.col("n"))
     )
     ranked = some.withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "hash"))
     ).where(F.col("rank") <= rows_per_language)
+    chosen = saved(ranked.select("lang", "hash", "order", "rank"), "language-sample")
+    sample = rows.join(chosen, ["lang", "hash", "order"]).groupBy("rank", "lang").agg(
+        F.first("text").alias("text")
+    )
     texts, langs, size = [], [], 0
-    for row in ranked.orderBy("rank", "lang").select("text", "lang").toLocalIterator():
+    for row in sample.orderBy("rank", "lang").select("text", "lang").toLocalIterator():
         size += len(row.text.encode())
         if texts and size > SAMPLE_BYTES:
             break

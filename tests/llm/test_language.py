@@ -2,6 +2,7 @@
 
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from matchlake.llm import language
@@ -50,3 +51,32 @@ def test_nothing_to_learn_from(spark):
     model = language.train(docs)
     assert [(r.lang_pred, r.score) for r in language.predict(docs, model).collect()] == [("und", 0.0)]
     assert language.predict(docs.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("distinct", [1, 3])
+def test_a_language_of_many_copies_of_few_texts(spark, distinct):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    own = F.concat(
+        F.lit("kuu paistaa taivaalla ja yö on pitkä "),
+        F.element_at(F.array(*map(F.lit, ("tuuli", "lumi", "meri"))), (F.col("id") % distinct + 1).cast("int")),
+    )
+    lost = []
+    for turn in range(6):  # other texts, so other hashes
+        copies = spark.range(10**6, 10**6 + 5_000).select(
+            F.col("id").alias("doc_id"), F.concat(own, F.lit(f" {turn}")).alias("text"), F.lit("fi").alias("lang")
+        )
+        all_docs = docs.unionByName(copies)
+        model = language.train(all_docs)
+        assert len(model.languages) == 5, turn
+        if not turn:
+            lost = language.predict(copies, model).where("lang_pred <> 'fi'").collect()
+            rows = language.predict(docs, model).join(docs, "doc_id").where("held_out").collect()
+            assert sum(r.lang_pred == r.lang for r in rows) > 0.97 * len(rows)
+    assert lost == []
+
+
+def test_each_of_five_languages_is_learned():
+    words = ["alpha", "bravo", "tango", "kilo", "zulu"]
+    texts = [f"{w} {w}{i} {w}" for i in range(20) for w in words]
+    model = language.fit(texts, words * 20)
+    assert [model.predict(f"{w} {w}")[0] for w in words] == words
