@@ -150,7 +150,8 @@ def _calibrate(table: np.ndarray, held: list[tuple]) -> tuple[float, float]:
 
 def train(docs: DataFrame, rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE) -> Model:
     """A model from text and ``lang`` of the training fold: of each language at most
-    ``rows_per_language`` distinct texts drawn by hash, at most ``SAMPLE_BYTES`` of text in all."""
+    ``rows_per_language`` distinct texts drawn by hash, at most ``SAMPLE_BYTES`` of text in all.
+    Of a text that would take more than its language's part of these, an excerpt is learned."""
     modulus, held_out = HELD_OUT
     text = F.col("text").cast("string")
     rows = docs.select(
@@ -175,8 +176,15 @@ def train(docs: DataFrame, rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE) ->
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "hash"))
     ).where(F.col("rank") <= rows_per_language)
     chosen = saved(ranked.select("lang", "hash", "order", "rank"), "language-sample")
+    # some texts of every language fit the bytes, whatever their length: eight at four bytes a
+    # character. An excerpt starts at the first letter.
+    longest = max(1, SAMPLE_BYTES // (32 * max(1, sizes.count())))
+    start = F.length(F.split("text", MAYBE_LETTER, 2)[0]) + 1
+    excerpt = F.when(
+        F.length("text") > longest, F.col("text").substr(start, F.lit(longest))
+    ).otherwise(F.col("text"))
     sample = rows.join(chosen, ["lang", "hash", "order"]).groupBy("rank", "lang").agg(
-        F.first("text").alias("text")
+        F.first(excerpt).alias("text")
     )
     texts, langs, size = [], [], 0
     for row in sample.orderBy("rank", "lang").select("text", "lang").toLocalIterator():

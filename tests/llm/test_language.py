@@ -80,3 +80,17 @@ def test_each_of_five_languages_is_learned():
     texts = [f"{w} {w}{i} {w}" for i in range(20) for w in words]
     model = language.fit(texts, words * 20)
     assert [model.predict(f"{w} {w}")[0] for w in words] == words
+
+
+def test_one_very_long_text_leaves_room_for_the_other_languages(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 1 << 16)
+    rows = [(i, t, lang) for lang, t in (("en", "the of and"), ("fr", "le la les")) for i in range(9)]
+    rows.append((20, "12 🙂 " * 20_000 + "das der die " * 20_000, "de"))
+    rows = [(i + 100 * k, f"{t} {i}", lang) for k, (i, t, lang) in enumerate(rows)]
+    held_out = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    rows = [(i if i not in held_out else None, t, lang) for i, t, lang in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert model.languages == ["de", "en", "fr"]
+    got = language.predict(docs, model).join(docs, "doc_id").collect()
+    assert got and all(r.lang_pred == r.lang for r in got)
