@@ -8,7 +8,9 @@ item above it is retrieved. A retrieved item counts if its five-word shingles ar
 passage, over the whole item as well as over its question and its answer (its last sentence).
 
 The index is built in shards of bounded size, and each is broadcast; more items make more
-shards, and the documents are scanned once for each.
+shards, and the documents are scanned once for each. Spark counts the words of the whole
+benchmark first, and a shard gets the counts of its own words, so weights and passages do not
+depend on how items fall into shards.
 """
 
 from __future__ import annotations
@@ -81,23 +83,36 @@ class Item:
         )
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """The whole benchmark: items, their mean and largest length, items per word."""
+
+    n: int
+    mean: float
+    longest: int
+    frequency: dict[bytes, int]
+
+
 class Index:
-    """One shard of the inverted index."""
+    """One shard of the inverted index; without ``corpus`` its items are all there are."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], corpus: Corpus | None = None):
         texts = [(i, t, words_of(t)) for i, t in items]
         texts = [x for x in texts if x[2]]
         self.items = [
             Item(i, shingles(w), *(shingles(p) for p in question_and_answer(t))) for i, t, w in texts
         ]
-        self.step = max([len(w) for _, _, w in texts], default=1) + SHINGLE_WORDS
         counts = [Counter(w) for _, _, w in texts]
-        frequency = Counter(w for c in counts for w in c)
-        n, mean = len(texts), np.mean([len(w) for _, _, w in texts] or [1])
-        idf = {w: np.log1p((n - f + 0.5) / (f + 0.5)) for w, f in frequency.items()}
-        self.terms = {w: k for k, w in enumerate(sorted(frequency))}
+        if corpus is None:
+            lengths = [len(w) for _, _, w in texts] or [1]
+            own = Counter(w for c in counts for w in c)
+            corpus = Corpus(len(texts), float(np.mean(lengths)), max(lengths), own)
+        self.step = corpus.longest + SHINGLE_WORDS
+        n, mean = corpus.n, corpus.mean
+        idf = {w: np.log1p((n - f + 0.5) / (f + 0.5)) for w, f in corpus.frequency.items()}
+        self.terms = {w: k for k, w in enumerate(sorted(idf))}
         self.postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        blocks = -(-n // BLOCK)
+        blocks = -(-len(texts) // BLOCK)
         self.block_max = np.zeros((len(self.terms), blocks), np.float32)
         for item, count in enumerate(counts):
             length = sum(count.values())
@@ -147,13 +162,47 @@ class Index:
         return sorted(out)
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
+    return rows.where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+
+
+def _word_counter():
+    @F.pandas_udf("length long, words array<binary>")
+    def count(texts: pd.Series) -> pd.DataFrame:
+        found = [words_of(t) for t in texts]
+        rows = [(len(w), sorted(set(w))) for w in found]
+        return pd.DataFrame(rows, columns=["length", "words"])
+
+    return count
+
+
+def corpora(benchmark: DataFrame):
+    """A function from a shard's items to the ``Corpus`` with the counts of their words."""
+    spark = benchmark.sparkSession
+    counted = saved(
+        _items(benchmark).select(_word_counter()("text").alias("item")).select("item.*").where("length > 0"),
+        "benchmark-words",
+    )
+    n, mean, longest = counted.agg(F.count("*"), F.avg("length"), F.max("length")).first()
+    frequency = saved(
+        counted.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")),
+        "benchmark-frequency",
+    )
+
+    def of(items: list[tuple[int, str]]) -> Corpus:
+        own = sorted({w for _, text in items for w in words_of(text)})
+        wanted = spark.createDataFrame([(w,) for w in own], "word binary")
+        rows = frequency.join(F.broadcast(wanted), "word").collect()
+        return Corpus(n, mean or 1.0, longest or 1, {bytes(r.word): r.n for r in rows})
+
+    return of
+
+
 def shards(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """Items in lists of bounded length and size, fetched one after the other."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
     held, size = [], 0
-    for row in rows.where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy(
-        "item_id", "text"
-    ).toLocalIterator():
+    for row in _items(benchmark).orderBy("item_id", "text").toLocalIterator():
         if held and (len(held) >= SHARD_ITEMS or size + len(row.text) > SHARD_BYTES):
             yield held
             held, size = [], 0
@@ -177,18 +226,19 @@ def held_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     hits = spark.createDataFrame([], f"{KEY[0]} long, {KEY[1]} long, item_id long")
+    corpus_of = corpora(benchmark)
     for items in shards(benchmark):
-        shared = spark.sparkContext.broadcast(items)
+        shared = spark.sparkContext.broadcast((items, corpus_of(items)))
         found = rows.select(*KEY, F.explode(_matcher(shared)("text")).alias("item_id"))
         hits = hits.unionByName(saved(found, "held-items"))
         shared.unpersist()
     return hits.groupBy(*KEY).agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
 
 
-def _matcher(items):
+def _matcher(shard):
     @F.pandas_udf("array<long>")
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(items.value)
+        index = Index(*shard.value)
         for texts in batches:
             yield pd.Series([index.matches(t) for t in texts])
 

@@ -93,6 +93,37 @@ def test_shards_hold_everything(spark, monkeypatch):
     assert d.contaminated(docs, benchmark).orderBy("doc_id").collect() == whole
 
 
+def test_weights_and_passages_do_not_depend_on_the_shards(spark, monkeypatch):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    benchmark = benchmark.unionByName(
+        spark.createDataFrame([(10**6, "!?"), (10**6 + 1, "ñ ñ ñ é"), (10**6 + 1, "ñ ñ ñ é")], benchmark.schema)
+    )
+
+    def weights():
+        out, corpus_of = {}, d.corpora(benchmark)
+        for items in d.shards(benchmark):
+            index = d.Index(items, corpus_of(items))
+            for word, term in index.terms.items():
+                for item, weight in index.postings[term]:
+                    out[index.items[item].item_id, word] = (round(weight, 12), index.step)
+        return out
+
+    whole = weights()
+    rows = {(r.item_id, r.text) for r in benchmark.collect()}
+    alone = d.Index(sorted(rows))
+    assert whole == {
+        (alone.items[item].item_id, word): (round(weight, 12), alone.step)
+        for word, term in alone.terms.items()
+        for item, weight in alone.postings[term]
+    }
+    monkeypatch.setattr(d, "SHARD_ITEMS", 7)
+    assert weights() == whole
+    used, matcher = [], d._matcher
+    monkeypatch.setattr(d, "_matcher", lambda shared: used.append(shared.value) or matcher(shared))
+    d.contaminated(benchmark.selectExpr("item_id AS doc_id", "text"), benchmark)
+    assert len(used) > 1 and {c.n for _, c in used} == {len(rows) - 1}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=200))
 def test_any_text_is_accepted(text):
