@@ -16,6 +16,7 @@ from matchlake.llm import (
     repeated_text,
     separator_scan,
     simhash,
+    token_alignment,
     toxicity,
 )
 from matchlake.llm.common import table
@@ -71,6 +72,10 @@ def op10_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_flat_graph": op1_flat_graph,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op8_prefix_doubling": op8_prefix_doubling,
         "op9_language_id": op9_language_id,
         "op10_brown_class_ngrams": op10_brown_class_ngrams,
+        "op11_token_alignment": op11_token_alignment,
     }
 
 

@@ -1,0 +1,173 @@
+"""Token alignment against overlaps found pair by pair."""
+
+import hashlib
+import json
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from matchlake.llm import queries, token_alignment
+from matchlake.llm.tokens import vocabulary_path
+
+SF = "/root/testdata/sf0.001"
+A_PATH, B_PATH = (vocabulary_path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def byte_alphabet():
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+@pytest.fixture(scope="module")
+def sides():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    b = SentencePieceProcessor(model_file=B_PATH)
+    of = byte_alphabet()
+
+    def encode(text):
+        if not text:
+            return [], []
+        ea = a.encode(" " + text, add_special_tokens=False)
+        ids_b = b.encode(text)
+        raw_a = [bytes(of[c] for c in t) for t in ea.tokens]
+        pieces = [b.id_to_piece(i) for i in ids_b]
+        raw_b = [
+            bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids_b, pieces)
+        ]
+        if b"".join(raw_a) != (" " + text).encode() or b"".join(raw_b) != (" " + text).encode():
+            return [], []
+        return list(zip(ea.ids, raw_a)), list(zip(ids_b, raw_b))
+
+    return encode
+
+
+def spans(tokens):
+    at, out = 0, []
+    for i, raw in tokens:
+        out.append((i, at, at + len(raw)))
+        at += len(raw)
+    return out
+
+
+def brute(rows, encode):
+    found, counts = [], Counter()
+    for doc_id, text in rows:
+        a, b = map(spans, encode(text))
+        links = [(x[0], y[0]) for x in a for y in b if max(x[1], y[1]) < min(x[2], y[2])]
+        ends = sorted({x[2] for x in a} & {y[2] for y in b})
+        groups, low = [], 0
+        for end in ends:
+            own = [",".join(str(x[0]) for x in t if low < x[2] <= end) for t in (a, b)]
+            groups.append("|".join(own))
+            low = end
+        found.append((doc_id, len(a), len(b), groups, links))
+        counts.update(links)
+    best = {}
+    for (_, b), n in counts.items():
+        best[b] = max(best.get(b, 0), n)
+    return Counter(
+        (
+            doc_id, n_a, n_b, len(groups), len(links),
+            sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links),
+            hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "",
+        )
+        for doc_id, n_a, n_b, groups, links in found
+    )
+
+
+COLUMNS = "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256".split()
+
+
+def test_table_against_pairwise_overlaps(spark, sides):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 3000")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = token_alignment.align(docs).select(*COLUMNS)
+    assert Counter(map(tuple, got.collect())) == brute(rows, sides) and len(rows) > 100
+
+
+EDGES = [
+    (1, None), (2, ""), (3, "same text"), (3, "same text"), (None, "no id"), (4, " a  b "), (5, "a\nb\r\n\tc"),
+    (6, "the ▁ mark"), (7, "<|endoftext|> <s> </s> <unk>"), (8, "日本語 ﬁ \x00 🙂"), (9, "é x  "),
+    (10, "x"), (11, " "), (12, "word and more, " * 300),
+]
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 3, 50_000])
+def test_edge_rows(spark, sides, monkeypatch, chunk_rows):
+    monkeypatch.setattr(token_alignment, "CHUNK_ROWS", chunk_rows)
+    monkeypatch.setattr(token_alignment, "BATCH_CHARS", 20)
+    docs = spark.createDataFrame(EDGES, "doc_id long, text string").withColumns(
+        {"chunk": F.lit(1), "pairs": F.lit("x"), "place": F.lit(2)}
+    )
+    got = token_alignment.align(docs.repartition(2)).select(*COLUMNS)
+    want = brute(EDGES, sides)
+    assert Counter(map(tuple, got.collect())) == want
+    zeros = {r[0] for r in want if r[1] == 0}
+    assert {1, 2, 6} <= zeros and not {3, 5, 7, 8} & zeros
+
+
+def test_empty_table_and_only_empty_texts(spark):
+    assert token_alignment.align(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    rows = token_alignment.align(spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string")).collect()
+    assert sorted(map(tuple, rows)) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2)]
+
+
+def test_groups_hold_both_sides(spark, sides):
+    docs = spark.createDataFrame(EDGES, "doc_id long, text string").where("doc_id in (4, 5, 7, 8, 12)")
+    texts = dict(EDGES)
+    for row in token_alignment.token_groups(docs).collect():
+        raw = (" " + texts[row.doc_id]).encode()[row.start : row.end]
+        a, b = map(spans, sides(texts[row.doc_id]))
+        for ids, tokens in ((row.a_ids, a), (row.b_ids, b)):
+            assert ids == [i for i, low, high in tokens if row.start <= low and high <= row.end]
+        assert raw
+
+
+def test_counts_of_pairs(spark, sides):
+    docs = spark.createDataFrame([(1, "the theatre"), (2, "the thea")], "doc_id long, text string")
+    counts = Counter()
+    for _, text in [(1, "the theatre"), (2, "the thea")]:
+        a, b = map(spans, sides(text))
+        counts.update((x[0], y[0]) for x in a for y in b if max(x[1], y[1]) < min(x[2], y[2]))
+    got = token_alignment.pair_counts(token_alignment.chunks(docs)).collect()
+    assert {(r.a_id, r.b_id): r.n for r in got} == counts
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60) | st.text("aZ.,'sté1 <|>\n\t×÷ɏ\x85\x1c", max_size=40))
+def test_ids_equal_the_vocabulary_files(text):
+    global _sides
+    try:
+        own = _sides
+    except NameError:
+        own = _sides = token_alignment.Sides(A_PATH, B_PATH)
+    want = own.tokenizer.encode(" " + text, add_special_tokens=False).ids
+    assert own.a_ids(text) == want and own.quick is not None
+
+
+def test_overlaps_by_as_of_merge():
+    a = pd.DataFrame({"doc": [0, 0, 1], "at": [0, 3, 5], "a": range(3)})
+    b = pd.DataFrame({"doc": [0, 0, 1, 1], "at": [0, 2, 5, 6], "b": range(4)})
+    links_a, links_b, a_first, b_first = token_alignment.overlaps(a, b)
+    assert sorted(zip(links_a.tolist(), links_b.tolist())) == [(0, 0), (0, 1), (1, 1), (2, 2), (2, 3)]
+    assert (a_first.tolist(), b_first.tolist()) == ([True, False, True], [True, False, True, False])
+
+
+def test_planes_round_trip():
+    values = np.array([0, 1, 255, 256, 1 << 31, (1 << 32) - 1])
+    assert token_alignment._from_planes(token_alignment._planes(values)).tolist() == values.tolist()
+
+
+def test_registered(spark):
+    got = queries.queries()["op11_token_alignment"](spark, SF)
+    assert got.columns == COLUMNS and got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert json.dumps(got.dtypes).count("bigint") == 7
