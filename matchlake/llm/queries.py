@@ -10,6 +10,7 @@ from matchlake.llm import (
     class_lm,
     decontaminate,
     embedding_graph,
+    exact_topk,
     language,
     packing,
     pii,
@@ -76,6 +77,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"))
 
 
+def op12_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_flat_graph": op1_flat_graph,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op9_language_id": op9_language_id,
         "op10_brown_class_ngrams": op10_brown_class_ngrams,
         "op11_token_alignment": op11_token_alignment,
+        "op12_pivot_distance_topk": op12_pivot_distance_topk,
     }
 
 
@@ -112,6 +118,19 @@ select v.vec_id, coalesce(c.n, 0) as n_links, least(v.vec_id, coalesce(m.y, v.ve
 from embeddings v left join counts c on c.x = v.vec_id left join least_ids m on m.x = v.vec_id
 """
 
+TOP_K_SQL = """
+with vectors as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select q.vec_id as query_id, c.vec_id, max(list_inner_product(q.e, c.e))::bigint as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+  where q.vec_id % 100 = 0 group by all),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scores)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_flat_graph": FLAT_GRAPH_SQL}
+    return {"op1_flat_graph": FLAT_GRAPH_SQL, "op12_pivot_distance_topk": TOP_K_SQL}

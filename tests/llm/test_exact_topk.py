@@ -1,0 +1,131 @@
+"""Exact top-k against all inner products."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from matchlake.llm import exact_topk
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute(rows, k=10, every=100, scale=1024.0):
+    vectors = {
+        (i, tuple(math.floor(scale * x) for x in v))
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = []
+    for q in sorted({i for i, _ in vectors if i % every == 0}):
+        best = {}
+        for i, a in vectors:
+            for j, b in vectors:
+                if i == q and j != q and len(a) == len(b):
+                    score = sum(x * y for x, y in zip(a, b))
+                    best[j] = max(best.get(j, score), score)
+        order = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
+        out += [(q, r + 1, j, s) for r, (j, s) in enumerate(order)]
+    return out
+
+
+def table(spark, rows, kind="float"):
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.fixture
+def small(monkeypatch):
+    """Many annuli, parts and batches from few rows."""
+    for name, value in {"ANNULUS": 5, "PART": 3, "QUERIES": 2}.items():
+        monkeypatch.setattr(exact_topk, name, value)
+
+
+def test_table_against_all_products(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "ANNULUS", 20)
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    result, visits = exact_topk._search(vectors, None, 10, 1024.0)
+    assert got(result) == brute(rows) and len(visits) > 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ties_repeats_and_hot_places(spark, small, seed):
+    draw = np.random.default_rng(seed)
+    some = [(int(i), draw.integers(-2, 3, 3).astype(float).tolist()) for i in range(0, 60)]
+    hot = [(int(i), [0.5, 0.5, 0.5]) for i in range(100, 140)]
+    own = [(200, [0.5, 0.5, 0.5]), (200, [0.5, 0.5, 0.5]), (200, [-1.0, 0.0, 2.0]), (-100, [1.0, 1.0, 1.0])]
+    rows = some + hot + own + some[:5]
+    assert got(exact_topk.top_k(table(spark, rows).repartition(3))) == brute(rows)
+
+
+def test_edge_rows(spark, small):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (100, None), (200, [1.0, None]), (300, [nan, 1.0]), (400, [inf, 1.0]), (500, [-inf, 1.0]),
+        (None, [1.0, 2.0]), (600, []), (601, []), (700, [1.0]), (800, [0.0, 0.0]), (1, [0.0, -0.0]), (2, [-0.0005, 3.0]),
+    ]
+    vectors = table(spark, rows).withColumns({"kth": F.lit("x"), "block": F.lit(1), "norm": F.lit(2)})
+    found = got(exact_topk.top_k(vectors, k=3))
+    assert found == brute(rows, k=3)
+    assert {q for q, *_ in found} == {0, 600, 800} and (600, 1, 601, 0) in found
+
+
+def test_empty_tables(spark):
+    assert got(exact_topk.top_k(table(spark, []))) == []
+    assert got(exact_topk.top_k(table(spark, [(1, [1.0])]))) == []
+    assert got(exact_topk.top_k(table(spark, [(0, [1.0])]))) == []
+
+
+def test_large_components(spark, small):
+    draw = np.random.default_rng(3)
+    rows = [(i * 25, (draw.random(4) * 2**19).tolist()) for i in range(30)]
+    assert got(exact_topk.top_k(table(spark, rows, "double"))) == brute(rows)
+    with pytest.raises(Exception, match="64 bits"):
+        exact_topk.top_k(table(spark, [(0, [1e30, 1.0]), (1, [1.0, 1.0])], "double")).collect()
+
+
+def test_bounds_stop_the_expansion(spark, monkeypatch):
+    """In clusters far apart a query leaves most annuli out."""
+    monkeypatch.setattr(exact_topk, "ANNULUS", 10)
+    draw = np.random.default_rng(1)
+    centres = draw.normal(size=(40, 8))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    rows = []
+    for i in range(2000):
+        v = centres[i % 40] + draw.normal(size=8) * 0.01
+        rows.append((i, (v / np.linalg.norm(v)).tolist()))
+    result, visits = exact_topk._search(table(spark, rows, "double"), None, 10, 1024.0)
+    vectors = np.floor(1024 * np.array([v for _, v in rows])).astype(np.int64)
+    scores = vectors[::100] @ vectors.T
+    for query, rank, vec_id, score in result.collect():
+        assert scores[query // 100, vec_id] == score
+        others = np.delete(scores[query // 100], query)
+        assert (others > score).sum() < rank
+    annuli = len(exact_topk.Index(exact_topk.quantised(table(spark, rows, "double"))).annuli)
+    assert result.count() == 200 and sum(visits) < 20 * annuli / 2
+
+
+def test_every_vector_is_indexed_and_annuli_bound_it(spark, small):
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(150)]
+    index = exact_topk.Index(exact_topk.quantised(table(spark, rows, "double")))
+    members = index.members.collect()
+    assert sorted(r.vec_id for r in members) == list(range(150)) and len(index.annuli) > 10
+    assert max(np.bincount([r.block for r in members])) <= 150 and index.members.groupBy("block", "part").count()
+    query = np.floor(1024 * draw.normal(size=(1, 4))).astype(np.int64)
+    bounds = exact_topk.least_distances(index.pivots[4].distances(query, queries=True), index.annuli)[0]
+    for r in members:
+        v = np.frombuffer(bytes(r.vec), "<i8")
+        true = (query**2).sum() + index.largest - 2 * (query @ v)[0]
+        assert bounds[r.block] <= np.sqrt(true) + exact_topk.MARGIN * np.sqrt(index.largest)
+
+
+def test_best_of_ties():
+    scores = np.array([[5, 7, 7, 7, 1], [2, 2, 2, 2, 2]])
+    row, column = exact_topk.best_of(scores, np.arange(5), 2)
+    assert list(zip(row.tolist(), column.tolist())) == [(0, 1), (0, 2), (1, 0), (1, 1)]
