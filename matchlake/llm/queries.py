@@ -17,6 +17,7 @@ from matchlake.llm import (
     repeated_text,
     separator_scan,
     simhash,
+    spelling,
     token_alignment,
     toxicity,
 )
@@ -81,6 +82,10 @@ def op12_pivot_distance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_flat_graph": op1_flat_graph,
@@ -95,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op10_brown_class_ngrams": op10_brown_class_ngrams,
         "op11_token_alignment": op11_token_alignment,
         "op12_pivot_distance_topk": op12_pivot_distance_topk,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 

@@ -1,0 +1,178 @@
+"""Spelling variants against every pair of words."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from matchlake.llm import queries, spelling
+
+SF = "/root/testdata/sf0.001"
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+COLUMNS = "word form root n n_near form_n".split()
+
+
+def brute_words(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def edits(word, letters):
+    out = set()
+    for i in range(len(word) + 1):
+        out.update(word[:i] + c + word[i:] for c in letters)
+        if i < len(word):
+            out.add(word[:i] + word[i + 1 :])
+            out.update(word[:i] + c + word[i + 1 :] for c in letters)
+    return out - {word}
+
+
+def brute(rows):
+    words = brute_words(rows)
+    letters = set("".join(words))
+    near = {w: [v for v in edits(w, letters) if v in words] for w in words}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * n else None
+    out = set()
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.add((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return out
+
+
+def got(df):
+    rows = list(map(tuple, df.select(*COLUMNS).collect()))
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.fixture
+def small(monkeypatch):
+    """Deep trees, and parts and batches from few words."""
+    for name, value in {"LEAF": 12, "PART": 5, "BATCH": 7, "LAST": 3, "HELD_WORDS": 10, "CELLS": 200}.items():
+        monkeypatch.setattr(spelling, name, value)
+
+
+def test_table_against_all_edits(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "LEAF", 100)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    found = got(queries.queries()["op13_spelling_variants"](spark, "/root/testdata/sf0.01"))
+    assert found == want and sum(r[1] is not None for r in want) > 100 and len(want) > 5000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_near_words_through_small_leaves(spark, small, seed):
+    draw = np.random.default_rng(seed)
+    rows = []
+    for i in range(400):
+        word = "".join(draw.choice(list("abéÿ×"), draw.integers(6, 10)))
+        rows.append((i, f"{word} " * int(draw.integers(1, 4))))
+    rows += [(i, "abababa abababb " * 30) for i in range(400, 403)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(spelling.variants(docs.repartition(3))) == brute(rows)
+
+
+def test_chain_of_forms_and_ties(spark, small):
+    counts = {"aaaaaaa": 2, "aaaaaab": 30, "aaaaabb": 400, "aaaabbb": 5000, "ccccccc": 3, "cccccca": 40, "acccccc": 40}
+    texts = {w: " ".join([w] * n) for w, n in counts.items()}
+    rows = [(i, t) for i, t in enumerate(texts.values())]
+    found = {r[0]: r for r in got(spelling.variants(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert set(found.values()) == brute(rows)
+    assert found["aaaaaaa"][1:3] == ("aaaaaab", "aaaabbb") and found["ccccccc"][1] == "acccccc"
+
+
+def test_edge_rows(spark, small):
+    long = "palabra " * 20_000 + "x" * 300 + " " + "y" * 70_000 + " " + "y" * 70_001 + " "
+    rows = [
+        (1, None), (2, ""), (3, "Palabra PALABRAS pâlabra"), (3, "Palabra PALABRAS pâlabra"), (None, "palabrÀ palabrà"),
+        (None, "palabrÀ palabrà"), (4, long), (5, long), (6, "ab1cdefgh_ijklmno日pqrstuv×wxyz÷ŒŸ palabrA"),
+        (7, "abcdefgh " * 5 + "abdefgh abcdefghi"), (8, "x" * 299 + " " + "x" * 299), (-9, "palabras"), (10, "x" * 301 + " " + "x" * 301),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"word": F.lit("x"), "n": F.lit(1), "leaf": F.lit(2)}
+    )
+    want = brute_edges(rows)
+    assert got(spelling.variants(docs)) == want and len(want) > 8
+
+
+def brute_edges(rows):
+    """As ``brute``, comparing pairs of words: edits of very long words are too many."""
+    words = brute_words(rows)
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(b) - len(a) > 1 or a == b:
+            return False
+        i = next((k for k in range(len(a)) if a[k] != b[k]), len(a))
+        return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
+
+    of = {w: [v for v in words if near(w, v)] for w in words}
+    form = {}
+    for w, n in words.items():
+        best = min(of[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * n else None
+    out = set()
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.add((w, form[w], root, n, len(of[w]), words[form[w]] if form[w] else None))
+    return out
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert got(spelling.variants(empty)) == set()
+    assert got(spelling.variants(spark.createDataFrame([(1, "alone here")], "doc_id long, text string"))) == set()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abcÿ", min_size=5, max_size=7), min_size=1, max_size=60, unique=True), st.integers(2, 9))
+def test_trees_hold_and_reach_all_words(words, wanted):
+    """A leaf out of a word's reach holds nothing near it."""
+    by_length = {n: [w.encode("latin-1") for w in words if len(w) == n] for n in (5, 6, 7)}
+    for length, raw in by_length.items():
+        if not raw:
+            continue
+        counts = spelling.letter_counts(raw)
+        tree = spelling.plant(counts, wanted)
+        home = spelling.leaf_of(tree, counts)
+        for kind, own in ((spelling.SAME, raw), (spelling.LONGER, by_length.get(length - 1, []))):
+            if not own:
+                continue
+            asked = spelling.letter_counts(own)
+            visits = {
+                (int(r), leaf)
+                for leaf, rows in spelling.leaves_in_range(tree, spelling.Visitors(asked, np.full(len(own), kind)))
+                for r in rows
+            }
+            apart = np.abs(asked[:, None] - counts[None]).sum(axis=2)
+            for q, s in zip(*np.nonzero(apart == (2 if kind == spelling.SAME else 1))):
+                assert (int(q), int(home[s])) in visits
+
+
+def test_letter_order():
+    def table(*words):
+        return np.array([list(w.encode()) for w in words], np.uint8)
+
+    assert spelling.one_replaced(table("abc", "abc", "abc"), table("abd", "acb", "abc")).tolist() == [True, False, False]
+    longer = table("abcd", "xabc", "abxc", "acbd", "aabc")
+    assert spelling.one_inserted(table(*["abc"] * 5), longer).tolist() == [True, True, True, False, True]
