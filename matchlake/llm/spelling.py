@@ -34,6 +34,7 @@ PART, BATCH = 6_000, 40_000  # words and visitors in a task
 LAST = 12  # words that are compared with all visitors that reach them
 HELD_WORDS = 1_000_000  # counts a task keeps before it hands them on
 CELLS = 1 << 20
+TOGETHER = 1 << 20  # letters of the words that go down the upper levels at a time
 SAME, LONGER = 0, 1  # what a visitor looks for: words of its length, or one letter longer
 FOUND = "word string, n_near long, best_n long, best string"
 
@@ -332,33 +333,49 @@ def _trees(found: DataFrame) -> dict[int, tuple]:
     return {n: plant(letter_counts(own), leaf * share) for n, own in by_length.items()}
 
 
+def _together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches joined to larger ones, since each is split over all trees and leaves."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += int(batch["word"].str.len().sum())
+        if size >= TOGETHER:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _by_length(raw: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    for length in np.unique(sizes):
+        own = np.flatnonzero(sizes == length)
+        yield int(length), own, letter_counts(raw[own].tolist())
+
+
 def _stored(trees):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = np.array(_raw(batch["word"]), object)
-            sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-            leaf = np.zeros(len(raw), np.int64)
-            for length in np.unique(sizes):
-                if tree := trees.value.get(int(length)):
-                    own = np.flatnonzero(sizes == length)
-                    leaf[own] = leaf_of(tree, letter_counts(raw[own].tolist()))
-            yield batch.assign(length=sizes, leaf=leaf)
+        for batch in _together(batches):
+            lengths, leaf = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            for length, own, counts in _by_length(np.array(_raw(batch["word"]), object)):
+                lengths[own] = length
+                leaf[own] = leaf_of(trees.value.get(length) or 0, counts)
+            yield batch.assign(length=lengths, leaf=leaf)
 
     return run
 
 
 def _asked(trees):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = np.array(_raw(batch["word"]), object)
-            sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-            for length in np.unique(sizes):
-                own = np.flatnonzero(sizes == length)
-                counts = letter_counts(raw[own].tolist())
+        for batch in _together(batches):
+            parts = []
+            for length, own, counts in _by_length(np.array(_raw(batch["word"]), object)):
                 for what in (SAME, LONGER):
-                    tree = trees.value.get(int(length) + what) or 0
+                    tree = trees.value.get(length + what) or 0
                     for leaf, rows in leaves_in_range(tree, Visitors(counts, np.full(len(own), what))):
-                        yield batch.iloc[own[rows]].assign(length=int(length) + what, leaf=leaf, kind=what)
+                        parts.append((own[rows], *(np.full(len(rows), x) for x in (length + what, leaf, what))))
+            rows, lengths, leaf, kind = (np.concatenate(p) for p in zip(*parts))
+            yield batch.iloc[rows].assign(length=lengths, leaf=leaf, kind=kind)
 
     return run
 
