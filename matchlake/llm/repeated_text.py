@@ -212,13 +212,23 @@ def _spans_of_blocks(blocks: DataFrame, runs: DataFrame, level: int) -> DataFram
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``id_key, text_hash, start, end`` of repeated strings; they may overlap."""
+    """``id_key, text_hash, start, end`` of repeated strings; they may overlap.
+
+    Rows with the same id and text are repeated as a whole, so only one of them is compared with
+    the others."""
     bounded_batches(docs.sparkSession, 500)
     rows = docs.select(
         filled_id(F.col("doc_id")).alias("id_key"),
         text_key(F.col("text")).alias("text_hash"),
         F.col("text").cast("string").alias("text"),
     ).where(F.octet_length("text") >= LENGTH)
+    size = F.octet_length("text").cast("long").alias("size")
+    sizes = rows.select(*KEY, size).groupBy(*KEY).agg(F.min("size").alias("size"), F.count("*").alias("n"))
+    again = saved(sizes.where("n > 1").select(*KEY, "size"), "repeats-rows")
+    whole = again.select(*KEY, F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
+    if not again.isEmpty():
+        one = rows.join(again.select(*KEY), KEY, "left_semi").dropDuplicates(KEY)
+        rows = rows.join(again.select(*KEY), KEY, "left_anti").unionByName(one)
     found = saved(rows.mapInPandas(_find_anchors, ANCHORS), "repeats-anchors")
     classes = found.groupBy("anchor", "run").agg(
         F.count("*").alias("members"), F.min(F.struct(*KEY, "lo", "count", "offset")).alias("one")
@@ -233,9 +243,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     classes = saved(classes.join(groups, "anchor"), "repeats-shared")
     equal = classes.where("members > 1").select("anchor", "run")
     spans = [
+        whole,
         found.join(equal, ["anchor", "run"], "left_semi").select(
             *KEY, F.col("lo").alias("start"), (F.col("lo") + F.col("count") - 1 + LENGTH).alias("end")
-        )
+        ),
     ]
     open_runs = (
         classes.where("kinds > 1")
@@ -304,7 +315,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     columns are ignored. One text and its spans are held at a time.
     """
     spans = (
-        repeated_spans(docs).groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        repeated_spans(docs).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

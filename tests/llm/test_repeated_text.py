@@ -68,6 +68,18 @@ def test_edge_rows(spark):
     assert result(docs.limit(0)) == []
 
 
+def test_many_rows_without_an_id_and_one_text(spark):
+    """Work per row does not grow with the number of equal rows."""
+    draw = np.random.default_rng(3)
+    text = "".join(draw.choice(list("abcdefgh "), 8_000))
+    other = text[:900] + text[::-1][:900]
+    rows = spark.range(50_000).selectExpr("cast(null as long) doc_id").withColumn("text", F.lit(text))
+    docs = rows.unionByName(spark.createDataFrame([(1, other), (2, text[::-1])], "doc_id long, text string"))
+    found = repeated_text.digests(repeated_text.without_repeats(docs))
+    counts = {tuple(r) for r in found.groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()}
+    assert counts == {(None, 8_000, 8_000, 1, 50_000), (1, 1_800, 1_800, 1, 1), (2, 8_000, 900, 1, 1)}
+
+
 def test_long_text_in_segments(spark, monkeypatch):
     monkeypatch.setattr(repeated_text, "SEGMENT", 1 << 10)
     draw = np.random.default_rng(1)
