@@ -40,6 +40,22 @@ def filled_id(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer where ``df`` has such a column, so that none of its own is lost."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def keyed(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` with the filled id and the hash of the text under these names."""
+    return docs.withColumns(dict(zip(names, (filled_id(F.col("doc_id")), text_key(F.col("text"))))))
+
+
 def drawn(order: Column, share: Column) -> Column:
     """Whether a 64-bit hash is within a share of its range: a draw that a few rows pass."""
     return F.pmod(order, F.lit(1 << 31)) < share * (1 << 31)

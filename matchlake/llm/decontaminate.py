@@ -18,14 +18,14 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches, filled_id, saved, text_key
+from matchlake.llm.common import bounded_batches, filled_id, free_names, keyed, saved, text_key
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -228,7 +228,8 @@ def held_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = spark.createDataFrame([], f"{KEY[0]} long, {KEY[1]} long, item_id long")
     corpus_of = corpora(benchmark)
     for items in shards(benchmark):
-        shared = spark.sparkContext.broadcast((items, corpus_of(items)))
+        # plain values: a class of this package could not be read where executors have no copy of it
+        shared = spark.sparkContext.broadcast((items, astuple(corpus_of(items))))
         found = rows.select(*KEY, F.explode(_matcher(shared)("text")).alias("item_id"))
         hits = hits.unionByName(saved(found, "held-items"))
         shared.unpersist()
@@ -238,7 +239,8 @@ def held_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _matcher(shard):
     @F.pandas_udf("array<long>")
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(*shard.value)
+        items, corpus = shard.value
+        index = Index(items, Corpus(*corpus))
         for texts in batches:
             yield pd.Series([index.matches(t) for t in texts])
 
@@ -268,7 +270,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    held = saved(held_items(docs, benchmark).select(*KEY), "contaminated")
-    keyed = docs.withColumns(dict(zip(KEY, (filled_id(F.col("doc_id")), text_key(F.col("text"))))))
-    return keyed.join(held, KEY, "left_anti").drop(*KEY)
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    Null and empty texts stay; repeated rows stay or go together; otherwise as ``contaminated``.
+    """
+    names = free_names(docs, *KEY)
+    held = held_items(docs, benchmark).select(*KEY).toDF(*names)
+    return keyed(docs, names).join(saved(held, "contaminated"), names, "left_anti").drop(*names)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import filled_id, saved, text_key
+from matchlake.llm.common import filled_id, free_names, keyed, saved, text_key
 
 KINDS = ("email", "ip", "card", "phone")
 # The formats. Possessive quantifiers and the conditions in front only keep the search linear:
@@ -308,8 +308,12 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def mask_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with personal data masked in ``text`` and ``n_chars`` brought up to date."""
-    names = ["__pii_id", "__pii_text", "__pii_spans"]
+    """The rows of ``docs`` with personal data masked in ``text`` and ``n_chars`` brought up to date.
+
+    Null and empty texts stay as they are; rows with the same id and text are masked alike; of
+    spans that overlap the first is written, and the characters of all of them go.
+    """
+    names = free_names(docs, "__pii_id", "__pii_text", "__pii_spans")
     found = (
         find(docs)
         .where(F.size("all_spans") > 0)
@@ -317,8 +321,7 @@ def mask_documents(docs: DataFrame) -> DataFrame:
         .agg(F.first("all_spans").alias(names[2]))
         .withColumnsRenamed(dict(zip(KEY, names)))
     )
-    keyed = docs.withColumns(dict(zip(names, (filled_id(F.col("doc_id")), text_key(F.col("text"))))))
-    joined = keyed.join(saved(found, "pii-found"), names[:2], "left")
+    joined = keyed(docs, names[:2]).join(saved(found, "pii-found"), names[:2], "left")
     text = F.when(F.col(names[2]).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(names[2])))
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches, filled_id, saved, text_key
+from matchlake.llm.common import bounded_batches, filled_id, free_names, keyed, saved, text_key
 from matchlake.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -218,13 +218,19 @@ def near_duplicates(
 
 
 def one_of_each_group(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The document with the smallest id of each group, with all columns of ``docs``."""
+    """The document with the smallest id of each group, with all columns of ``docs``.
+
+    Null ids count as the largest; of documents with the same id the one whose text has the
+    smallest hash stays, and of rows with the same id and text any one. Null and empty texts
+    form a group like any other.
+    """
+    names = free_names(docs, *KEY)
     chosen = (
         found.select("group_fp", filled_id(F.col("doc_id")).alias("id"), F.col("text_key").alias("hash"))
         .groupBy("group_fp")
         .agg(F.min(F.struct("id", "hash")).alias("one"))
-        .select(F.col("one.id").alias(KEY[0]), F.col("one.hash").alias(KEY[1]))
+        .select(F.col("one.id").alias(names[0]), F.col("one.hash").alias(names[1]))
     )
-    keyed = docs.withColumns(dict(zip(KEY, (filled_id(F.col("doc_id")), text_key(F.col("text"))))))
-    kept = keyed.join(saved(chosen, "simhash-chosen"), KEY, "left_semi").dropDuplicates(KEY)
-    return kept.drop(*KEY)
+    rows = keyed(docs, names)
+    kept = rows.join(saved(chosen, "simhash-chosen"), names, "left_semi").dropDuplicates(names)
+    return kept.drop(*names)

@@ -1,5 +1,7 @@
 """Benchmark decontamination against direct overlap of every item with every document."""
 
+import pickle
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -121,7 +123,9 @@ def test_weights_and_passages_do_not_depend_on_the_shards(spark, monkeypatch):
     used, matcher = [], d._matcher
     monkeypatch.setattr(d, "_matcher", lambda shared: used.append(shared.value) or matcher(shared))
     d.contaminated(benchmark.selectExpr("item_id AS doc_id", "text"), benchmark)
-    assert len(used) > 1 and {c.n for _, c in used} == {len(rows) - 1}
+    assert len(used) > 1 and {d.Corpus(*c).n for _, c in used} == {len(rows) - 1}
+    # executors need no copy of the package to read what is broadcast
+    assert b"matchlake" not in pickle.dumps(used)
 
 
 @settings(max_examples=60, deadline=None)
@@ -129,3 +133,10 @@ def test_weights_and_passages_do_not_depend_on_the_shards(spark, monkeypatch):
 def test_any_text_is_accepted(text):
     index = d.Index([(1, "alpha beta gamma delta epsilon zeta. eta theta"), (2, "!")])
     assert index.matches(text) == []
+
+
+def test_columns_named_like_the_keys_stay(spark):
+    docs = spark.createDataFrame([(1, "some text", 7, "x")], "doc_id long, text string, __held_id int, __HELD_TEXT string")
+    benchmark = spark.createDataFrame([(1, "another text of the benchmark that is long enough")], "item_id long, text string")
+    kept = d.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "some text", 7, "x")]

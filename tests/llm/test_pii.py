@@ -117,3 +117,11 @@ def test_no_python_on_the_way(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = pii.find(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_columns_named_like_the_keys_stay(spark):
+    docs = spark.createDataFrame(
+        [(1, "to a@b.cd now", 7, "x", 9)], "doc_id long, text string, __pii_id int, __pii_text string, __pii_spans int"
+    )
+    rows = pii.mask_documents(docs).collect()
+    assert [tuple(r) for r in rows] == [(1, "to [EMAIL] now", 7, "x", 9)]

@@ -104,3 +104,10 @@ def test_dense_group_of_fingerprints(spark, spread):
         else:
             assert len({root[m] for m in members}) == 1
     assert len(set(root.values())) == sum(len(m) > 1 for m in groups.values())
+
+
+def test_columns_named_like_the_keys_stay(spark):
+    rows = [(2, "one text here", 7, "x"), (1, "one text here", 8, "y"), (1, "one text here", 8, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __simhash_id int, __simhash_text string")
+    kept = simhash.one_of_each_group(docs, simhash.near_duplicates(docs))
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [rows[1]]

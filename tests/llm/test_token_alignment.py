@@ -154,6 +154,20 @@ def test_ids_equal_the_vocabulary_files(text):
     assert own.a_ids(text) == want and own.quick is not None
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aZ.é1 \n\t▁日\xa0×", max_size=16) | st.text(max_size=12), min_size=1, max_size=4))
+def test_word_by_word_equals_whole_texts(texts):
+    global _words
+    try:
+        own = _words
+    except NameError:
+        own = _words = token_alignment.Sides(A_PATH, B_PATH)
+    assert own.by_word
+    whole = [own.of(t) if t else None for t in texts]
+    got = own.encode(texts)
+    assert [tuple(map(list, p)) for p in got] == [tuple(map(list, p)) if p else ([], []) for p in whole]
+
+
 def test_overlaps_by_as_of_merge():
     a = pd.DataFrame({"doc": [0, 0, 1], "at": [0, 3, 5], "a": range(3)})
     b = pd.DataFrame({"doc": [0, 0, 1, 1], "at": [0, 2, 5, 6], "b": range(4)})
