@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.functions.casts import CAST_BY_KIND, match_year, surrogate_key
 from matchlake.schemas import KEY_COLUMNS, REQUIRED_RAW, STAGED
+from matchlake.sources.tables import point
 
 # Staged column -> SQL expression over the bronze columns.
 STAGED_SQL = {
@@ -49,4 +50,4 @@ def stage(raw: DataFrame, leagues: DataFrame) -> DataFrame:
 
 def publish_view(spark: SparkSession, view: str, raw_table: str, leagues_table: str) -> None:
     """The same model as a catalog view; nothing is computed until it is read."""
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {silver_sql(raw_table, leagues_table)}")
+    point(spark, view, silver_sql(raw_table, leagues_table))

@@ -1,8 +1,9 @@
 """Namespaces and stored tables.
 
-A rebuild is written beside the published table and takes its name only when all rows are
-there, so a failing one leaves the published rows readable. Under a root every version has a
-folder of its own; the newest complete one is the table.
+A rebuild writes a new version into a folder of its own, records it as published and switches
+the name over in one catalog operation: the name is a view of one version's files. So a name
+always reads whole, old or new, and a running query keeps the version it began with. Versions
+that are no longer current are removed after a grace period.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 
 from matchlake.schemas import MART_COLUMNS
 
+GRACE_SECONDS = 24 * 3600.0  # how long a query may go on reading a version that was replaced
+PUBLISHED = "_published"  # folder of markers, one for each publication, named by its time
+
 
 def route_namespace(custom: str | None, default: str) -> str:
     """A layer's own namespace, used as written but trimmed; else the default one."""
@@ -50,15 +54,14 @@ class Namespaces:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
     def attach(self, spark: SparkSession, layer: str, name: str) -> None:
-        """Make a table stored under ``root`` known to a catalog that does not remember it."""
+        """Point a name at what was last published under ``root``, for a catalog that does not
+        remember it or was not reached any more."""
         table, path = self.table(layer, name), self.path(layer, name)
-        if path and not spark.catalog.tableExists(table):
-            complete = versions(spark, path)
-            if not complete:
-                raise FileNotFoundError(f"no complete version of {table} under {path}")
-            spark.catalog.createTable(table, path=complete[-1], source="parquet")
-            if any(column.isPartition for column in spark.catalog.listColumns(table)):
-                spark.catalog.recoverPartitions(table)  # else it reads as empty
+        if path:
+            version = current(spark, path)
+            if version is None:
+                raise FileNotFoundError(f"no published version of {table} under {path}")
+            point(spark, table, files_of(version))
 
 
 def _folder(spark: SparkSession, path: str):
@@ -66,15 +69,9 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def versions(spark: SparkSession, path: str) -> list[str]:
-    """Complete versions of a table under its folder, the oldest first."""
+def _names(spark: SparkSession, path: str) -> list[str]:
     files, place = _folder(spark, path)
-    if not files.exists(place):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
-    found = sorted(n for n in names if n.startswith("v-"))
-    marks = [(f"{path}/{n}", _folder(spark, f"{path}/{n}/_SUCCESS")[1]) for n in found]
-    return [version for version, mark in marks if files.exists(mark)]
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -82,41 +79,96 @@ def _remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
-def publish(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Full rebuild of a Parquet table: write it all, then switch the name over.
-
-    Without a path the versions lie in the database's folder. Every version has its location,
-    so that a rename moves no files.
+def publications(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Time (ns) and version folder of every publication still on record, the last one last."""
+    marks = [n.split(".", 1) for n in _names(spark, f"{path}/{PUBLISHED}")]
+    return [(int(at), f"{path}/{version}") for at, version in marks]
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The version folder that was published last."""
+    found = publications(spark, path)
+    return found[-1][1] if found else None
+
+
+def _record(spark: SparkSession, path: str, version: str) -> str:
+    """Mark a version as published; making an empty file is one operation in any store."""
+    mark = f"{path}/{PUBLISHED}/{time.time_ns():020d}.{version.rsplit('/', 1)[1]}"
+    files, place = _folder(spark, mark)
+    files.create(place, False).close()
+    return mark
+
+
+def files_of(version: str) -> str:
+    place = version.replace("`", "``")
+    return f"SELECT * FROM parquet.`{place}`"
+
+
+def point(spark: SparkSession, name: str, query: str) -> None:
+    """Make a view of the query. A view that exists is altered, which is one catalog operation
+    (to replace it would drop it first)."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE VIEW {name} AS {query}")
+    elif spark.catalog.getTable(name).tableType == "VIEW":
+        spark.sql(f"ALTER VIEW {name} AS {query}")
+    else:  # a table of the same name; its own files stay where they are
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE VIEW {name} AS {query}")
+
+
+def _write_version(df: DataFrame, version: str, partition_by: Sequence[str]) -> None:
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(version)
+    if partition_by and not any("=" in n for n in _names(df.sparkSession, version)):
+        # no rows, so no partition and no file that tells the columns
+        df.limit(0).write.mode("append").parquet(version)
+
+
+def _clear(spark: SparkSession, path: str, grace: float) -> None:
+    """Remove versions replaced longer ago than the grace period, and as old ones never published."""
+    found = publications(spark, path)
+    limit = time.time_ns() - int(grace * 1e9)
+    # a publication was replaced when the next one was made
+    kept = {found[-1][1]} | {v for (_, v), (until, _) in zip(found, found[1:]) if until > limit}
+    for name in _names(spark, path):
+        if name.startswith("v-") and f"{path}/{name}" not in kept and int(name.split("-")[1]) <= limit:
+            _remove(spark, f"{path}/{name}")
+    for at, version in found[:-1]:
+        if version not in kept:
+            _remove(spark, f"{path}/{PUBLISHED}/{at:020d}.{version.rsplit('/', 1)[1]}")
+
+
+def publish(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    grace: float = GRACE_SECONDS,
+) -> None:
+    """Full rebuild of a Parquet table: write a new version, record it, switch the name over.
+
+    Without a path the versions lie in the database's folder. A build that ends before the
+    record is made leaves the old rows; one that ends after it leaves the old rows under a name
+    that knows them, and the new ones wherever the folder is attached. ``grace`` is in seconds.
     """
     spark = df.sparkSession
-    run = uuid.uuid4().hex
-    staged, retired = f"{name}__new_{run}", f"{name}__old_{run}"
     database, _, table = name.rpartition(".")
     home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
     path = path or f"{home}/{table}"
-    version = f"{path}/v-{time.time_ns():020d}-{run}"
-    writer = df.write.format("parquet").option("partitionOverwriteMode", "static")
-    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    version = f"{path}/v-{time.time_ns():020d}-{uuid.uuid4().hex}"
     try:
-        writer.option("path", version).saveAsTable(staged)
+        _write_version(df, version, partition_by)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
         _remove(spark, version)
         raise
-    replaced = spark.catalog.tableExists(name)
-    if replaced:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {retired}")
+    mark = _record(spark, path, version)
     try:
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        point(spark, name, files_of(version))
     except Exception:
-        if replaced:
-            spark.sql(f"ALTER TABLE {retired} RENAME TO {name}")
+        _remove(spark, mark)
+        _remove(spark, version)
         raise
-    if replaced:
-        spark.sql(f"DROP TABLE {retired}")
-    for old in versions(spark, path):
-        if old != version:
-            _remove(spark, old)
+    _clear(spark, path, grace)
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None) -> None:

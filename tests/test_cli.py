@@ -20,7 +20,7 @@ def test_build_test_and_kpi(spark, capsys, monkeypatch):
     # A session with an empty catalog finds the layers by their folder, and can rebuild them.
     spark.sql("DROP VIEW cli_staging.stg_matches")
     for table in ("cli_raw.raw_matches", "cli_raw.leagues", "cli_mart.fct_european_matches"):
-        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"DROP VIEW {table}")
     with pytest.raises(QualityError):
         main([*names, "test"])
     assert "accepted_values" in capsys.readouterr().out
