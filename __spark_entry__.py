@@ -18,7 +18,7 @@ from matchlake.fixtures import matches  # noqa: E402
 from matchlake.functions import classify  # noqa: E402
 from matchlake.operators import filters, kpis, quality  # noqa: E402
 from matchlake.operators.enrich import with_league  # noqa: E402
-from matchlake.plans.build import MART_TABLE, BuildConfig, quality_report, run_build  # noqa: E402
+from matchlake.plans.build import MART_TABLE, BuildConfig, last_report, run_build  # noqa: E402
 from matchlake.plans.mart import build_mart  # noqa: E402
 from matchlake.plans.staging import cast_columns, publish_view, stage  # noqa: E402
 from matchlake.session import scratch_path  # noqa: E402
@@ -122,7 +122,7 @@ def medallion_end_to_end(spark, sf_dir):
 
 
 def medallion_test_report(spark, sf_dir):
-    return quality_report(spark, built(spark, sf_dir))
+    return last_report(spark, built(spark, sf_dir))
 
 
 PUBLISHED: dict[tuple[str, str], tuple[str, str]] = {}

@@ -5,6 +5,9 @@ tests of a model together: each row yields the (test, value) pairs that matter,
 pairs are counted with map-side combine, and the counts decide every test. That is
 one scan and one wide shuffle however many tests a model has, and a hot value
 collapses to one pair per task before it is shuffled.
+
+Counts of failing rows can also be observed while a model is written; tests that they decide
+need no scan of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.operators.filters import present
@@ -96,6 +99,41 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> Dat
     return children.join(keys, F.col(column) == F.col("parent_key"), "left_anti")
 
 
+# --- tests within the write -------------------------------------------------------
+
+
+class Watch:
+    """Counts rows, and those that fail not_null and accepted_values tests, in passing.
+
+    Rows must pass in the stage that writes them: tasks of an earlier stage may run again after
+    a lost executor and would be counted twice.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = [c for c in checks if c.test in ("not_null", "accepted_values")]
+        self.seen = Observation()
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        failing = [
+            F.col(c.column).isNull() if c.test == "not_null" else ~F.col(c.column).isin(*c.values)
+            for c in self.checks
+        ]
+        counts = [F.count(F.when(f, 1)).alias(f"t{i}") for i, f in enumerate(failing)]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def failures(self, stored_rows: int) -> dict[Check, int]:
+        """Failures of the tests that the counts decide, once the rows are written.
+
+        Rows that fail accepted_values say that there are failures, not how many values, so
+        such a test is left to a scan. If other rows are stored than were counted, all are.
+        """
+        counts = self.seen.get
+        if counts["rows"] != stored_rows:
+            return {}
+        found = {c: counts[f"t{i}"] for i, c in enumerate(self.checks)}
+        return {c: n for c, n in found.items() if c.test == "not_null" or n == 0}
+
+
 # --- whole suites ---------------------------------------------------------------
 
 
@@ -117,11 +155,20 @@ def _pair_value(df: DataFrame, check: Check) -> Column:
 
 
 def run_suite(
-    df: DataFrame, model: str, checks: Sequence[Check], parents: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    model: str,
+    checks: Sequence[Check],
+    parents: Mapping[str, DataFrame] | None = None,
+    known: Mapping[Check, int] | None = None,
 ) -> DataFrame:
-    """(model, column_name, test, failures), one row per check, in one scan of ``df``."""
+    """(model, column_name, test, failures), one row per check, in one scan of ``df`` that reads
+    the columns of the checks whose failures are not known yet."""
     spark = df.sparkSession
-    tags = [f"t{i}" for i in range(len(checks))]
+    listing = _listing(spark, model, checks, known or {})
+    numbered = [(f"t{i}", c) for i, c in enumerate(checks) if c not in (known or {})]
+    if not numbered:
+        return listing.select("model", "column_name", "test", F.col("known").alias("failures"))
+    tags, checks = zip(*numbered)
     pairs = (
         df.select(*[_pair_value(df, c).alias(t) for t, c in zip(tags, checks)])
         .unpivot([], tags, "tag", "value")
@@ -152,21 +199,22 @@ def run_suite(
         )
     failures = failures.otherwise(F.lit(1))
     found = counted.groupBy("tag").agg(F.sum(failures).alias("found"))
-    return (
-        _listing(spark, model, tags, checks)
-        .join(found, "tag", "left")
-        .select("model", "column_name", "test", F.coalesce("found", F.lit(0)).alias("failures"))
+    return listing.join(found, "tag", "left").select(
+        "model", "column_name", "test", F.coalesce("known", "found", F.lit(0)).alias("failures")
     )
 
 
-def _listing(spark: SparkSession, model: str, tags: Sequence[str], checks: Sequence[Check]) -> DataFrame:
+def _listing(
+    spark: SparkSession, model: str, checks: Sequence[Check], known: Mapping[Check, int]
+) -> DataFrame:
     return spark.createDataFrame(
         pa.table(
             {
-                "tag": list(tags),
-                "model": [model] * len(tags),
+                "tag": [f"t{i}" for i in range(len(checks))],
+                "model": [model] * len(checks),
                 "column_name": [c.column for c in checks],
                 "test": [c.test for c in checks],
+                "known": pa.array([known.get(c) for c in checks], pa.int64()),
             }
         )
     )

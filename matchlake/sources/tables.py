@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -175,7 +175,7 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
     publish(df, name, path)
 
 
-def lay_out_mart(mart: DataFrame) -> DataFrame:
+def lay_out_mart(mart: DataFrame, watch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Distribute by year and division, order files by year, division and league.
 
     ``rebalance`` lets the adaptive planner split a year or division that outgrows
@@ -183,11 +183,19 @@ def lay_out_mart(mart: DataFrame) -> DataFrame:
     write would otherwise sort again by year and lose the rest of the order.
     """
     order = ["match_year", "division", "league_name"]
-    return mart.hint("rebalance", F.col("match_year"), F.col("division")).sortWithinPartitions(*order)
+    spread = mart.hint("rebalance", F.col("match_year"), F.col("division"))
+    # after the shuffle, in the stage that writes, and before the sort that the writer relies on
+    return (watch(spread) if watch else spread).sortWithinPartitions(*order)
 
 
-def write_mart(mart: DataFrame, name: str, path: str | None = None) -> None:
-    publish(lay_out_mart(mart), name, path, ["match_year"])
+def write_mart(
+    mart: DataFrame,
+    name: str,
+    path: str | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Publish the mart; ``watch`` sees its rows as they are written."""
+    publish(lay_out_mart(mart, watch), name, path, ["match_year"])
 
 
 def as_mart(df: DataFrame) -> DataFrame:
