@@ -155,8 +155,8 @@ def pack(
 
         def documents():
             for batch in batches:
-                for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                    yield None if pd.isna(doc_id) else int(doc_id), ids.raw(text) + end
+                for doc_id, raw in zip(batch["doc_id"], ids.raws(batch["text"].tolist())):
+                    yield None if pd.isna(doc_id) else int(doc_id), raw + end
 
         rows = []
         for number, pieces in enumerate(pack_partition(documents(), window)):

@@ -12,6 +12,10 @@ import unicodedata
 from array import array
 from types import ModuleType
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 CACHED_WORDS = 1_200_000
@@ -43,15 +47,10 @@ def _kept_by_worker(key: tuple) -> dict:
     return module.__dict__.setdefault(key, {})
 
 
-def _core(word: bytes) -> tuple[bytes, bytes]:
-    """The word in lower case and the full stop or comma after it.
-
-    The vocabulary lower-cases all text, and a mark after a letter is a token of its own.
-    """
-    word = word.lower()
-    if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
-        return word[:-1], word[-1:]
-    return word, b""
+# Marks that are tokens of their own after a letter. Angle brackets may end a special token, and
+# an apostrophe may begin an ending such as 's.
+_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+TOGETHER = 4 << 20  # characters looked up at a time
 
 
 class WordIds:
@@ -65,30 +64,67 @@ class WordIds:
         self.seen: dict[bytes, bytes] = _kept_by_worker((path, code, special_tokens_are_text))
 
     def _learn(self, words: list[bytes]) -> None:
-        seen, cores = self.seen, [_core(w) for w in words]
-        fresh = list({part for core in cores for part in core if part and part not in seen})
-        split, mixed = self.tokenizer.model.tokenize, []
-        for word in fresh:
-            text = word.decode("utf-8", "replace")
+        """The vocabulary lower-cases all text, so a word is its lower case, and where that is a
+        plain word before marks, the ids of both."""
+        seen, split, code = self.seen, self.tokenizer.model.tokenize, self.code
+        lower = b"\n".join(words).lower().split(b"\n")  # words hold no white space
+        cores = [w.rstrip(_MARKS) for w in lower]
+        fresh = list({c for c in cores if c not in seen})
+        joined = b"\n".join(fresh)
+        texts = joined.decode("utf-8", "replace").split("\n")
+        letters = joined.decode("latin-1").translate(_ALPHABET | {10: 10}).split("\n")
+        mixed = set()
+        for core, text, own in zip(fresh, texts, letters):
             if _is_plain_word(text):  # straight to the merges
-                tokens = split(word.decode("latin-1").translate(_ALPHABET))
-                seen[word] = array(self.code, [t.id for t in tokens]).tobytes()
+                seen[core] = array(code, [t.id for t in split(own)]).tobytes()
+            else:
+                mixed.add(core)
+        whole = set()
+        for word, core in zip(lower, cores):
+            if core in mixed or not core:
+                whole.add(word)
+            elif len(core) < len(word):
+                whole.add(word[len(core) :])
+        whole = [w for w in whole if w not in seen]
+        texts = [w.decode("utf-8", "replace") for w in whole]
+        for word, encoded in zip(whole, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            seen[word] = array(code, encoded.ids).tobytes()
+        for word, small, core in zip(words, lower, cores):
+            if core in mixed or not core:
+                seen[word] = seen[small]
             else:
-                mixed.append((word, text))
-        encoded = self.tokenizer.encode_batch_fast([t for _, t in mixed], add_special_tokens=False)
-        for (word, _), ids in zip(mixed, encoded):
-            seen[word] = array(self.code, ids.ids).tobytes()
-        for word, (core, mark) in zip(words, cores):
-            seen[word] = seen[core] + seen[mark] if mark else seen[core]
+                seen[word] = seen[core] + seen[small[len(core) :]] if len(core) < len(small) else seen[core]
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = parts.flatten().dictionary_encode()
+        known = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        own = list(map(self.seen.get, known))
+        if None in own:
+            self._learn([w for w, ids in zip(known, own) if ids is None])
+            own = [self.seen[w] if ids is None else ids for w, ids in zip(known, own)]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // array(self.code).itemsize
+        ids = gathered(np.frombuffer(b"".join(own), self.code), sizes, words.indices.to_numpy())
+        ends = np.r_[0, np.cumsum(sizes[words.indices.to_numpy()])][parts.offsets.to_numpy()]
+        return [ids[low:high].tobytes() for low, high in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def raws(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids as little-endian integers, without an end id; empty for a null."""
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= TOGETHER:
+                out += self._together(held)
+                held, size = [], 0
+        return out + self._together(held) if held else out
 
     def raw(self, text: str | None) -> bytes:
-        """The text's ids as little-endian integers, without an end id; empty for a null."""
-        words = (text or "").encode("utf-8", "replace").split()
-        if len(self.seen) > CACHED_WORDS:
-            self.seen.clear()
-        seen = self.seen
-        try:
-            return b"".join([seen[w] for w in words])
-        except KeyError:
-            self._learn(list({w for w in words if w not in seen}))
-            return b"".join([seen[w] for w in words])
+        return self.raws([text])[0]
+
+
+def gathered(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Pieces of ``flat`` (of given sizes, one after the other) in the order of ``which``."""
+    counts = sizes[which]
+    starts = (np.cumsum(sizes) - sizes)[which]
+    return flat[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
