@@ -28,9 +28,9 @@ from matchlake.llm.common import bounded_batches, saved
 LEAST_LENGTH, LEAST_COUNT = 7, 2
 FORM_FACTOR = 10
 DROP_MODULUS = 31
-LEAF = 3_000  # words wanted in a leaf of the upper levels
+LEAF = 5_000  # words wanted in a leaf of the upper levels
 MOST_LEAVES, SAMPLE_WORDS = 8_192, 400_000  # bound what the driver and a broadcast hold
-PART, BATCH = 6_000, 40_000  # words and visitors in a task
+PART, BATCH = 10_000, 60_000  # words and visitors in a task
 LAST = 12  # words that are compared with all visitors that reach them
 HELD_WORDS = 1_000_000  # counts a task keeps before it hands them on
 CELLS = 1 << 20
@@ -126,25 +126,38 @@ class Visitors:
     ``up`` letters missing, ``down`` letters too many."""
 
     def __init__(self, counts: np.ndarray, kind: np.ndarray):
-        self.counts, self.kind = counts, kind
-        self.rows = np.arange(len(counts))
-        self.up = np.zeros(len(counts), np.int32)
-        self.down = np.zeros(len(counts), np.int32)
+        self.letters = _columns(counts)
+        self.kind = kind
+        self.rows = np.arange(len(counts), dtype=np.int32)
+        self.up = np.zeros(len(counts), self.letters.dtype)
+        self.down = np.zeros(len(counts), self.letters.dtype)
 
     def below(self, letter: int, low: int, high: int, old_low: int, old_high: int) -> Visitors:
         """Those that can still be in range once the box spans ``low`` to ``high`` in a letter."""
-        x = self.counts[self.rows, letter]
-        up = self.up + np.maximum(low - x, 0) - np.maximum(old_low - x, 0)
-        down = self.down + np.maximum(x - high, 0) - np.maximum(x - old_high, 0)
+        x = self.letters[letter][self.rows]
+        up, down = self.up, self.down
+        if low != old_low:
+            up = up + np.maximum(low - x, 0) - np.maximum(old_low - x, 0)
+        if high != old_high:
+            down = down + np.maximum(x - high, 0) - np.maximum(x - old_high, 0)
         # a replaced letter is one up and one down, a longer word has one more and none less
-        near = (up <= 1) & (down <= (self.kind[self.rows] == SAME))
+        near = (up <= 1) & (down <= self.most_down())
         out = object.__new__(Visitors)
-        out.counts, out.kind = self.counts, self.kind
+        out.letters, out.kind = self.letters, self.kind
         out.rows, out.up, out.down = self.rows[near], up[near], down[near]
         return out
 
+    def most_down(self) -> np.ndarray:
+        return self.kind[self.rows] == SAME
 
-TOP_COUNT = 1 << 30
+
+TOP_COUNT = 127  # more than any count that is split at, unless counts are wide
+
+
+def _columns(counts: np.ndarray) -> np.ndarray:
+    """Letter by letter, in one byte where no count or sum of differences passes it."""
+    narrow = not len(counts) or counts.sum(axis=1).max() <= 60
+    return np.ascontiguousarray(counts.T.astype(np.int8 if narrow else np.int32))
 
 
 def _split_box(box: dict, letter: int, at: int) -> tuple[tuple[int, int], dict, dict]:
@@ -202,32 +215,38 @@ def leaves_in_range(tree, visitors: Visitors) -> Iterator[tuple[int, np.ndarray]
 
 def _candidates(stored: np.ndarray, visitors: Visitors) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of visitors and of stored words whose counts are in range."""
-    # compared letter by letter, over the letters stored; the visitors' other ones add up
-    letters = np.flatnonzero(stored.any(axis=0))
-    small = stored[0].sum() <= 60  # no difference passes 127
-    kind = np.int8 if small else np.int32
-    own_letters = np.ascontiguousarray(stored[:, letters].T.astype(kind))
-    their_letters = np.ascontiguousarray(visitors.counts[:, letters].T.astype(kind))
-    others = (visitors.counts.sum(axis=1) - visitors.counts[:, letters].sum(axis=1)).astype(kind)
-    wanted = np.where(visitors.kind == SAME, 2, 1).astype(kind) - others
+    # letters that no stored word has add up; the others are compared one by one
+    held = np.flatnonzero(stored.any(axis=0))
+    ours, theirs = _columns(stored)[held], visitors.letters[held]
+    others = visitors.letters.sum(axis=0, dtype=np.int32) - theirs.sum(axis=0, dtype=np.int32)
+    wanted = np.where(visitors.kind == SAME, 2, 1) - others
 
     def go(own: np.ndarray, who: Visitors, box: dict):
         if not len(who.rows):
             return
         halves = _halves(stored[own]) if len(own) > LAST else None
         if halves is None:
-            step = max(1, CELLS // (len(own) * len(letters)))
-            for k in range(0, len(who.rows), step):
-                rows = who.rows[k : k + step]
-                apart = np.abs(their_letters[:, rows, None] - own_letters[:, None, own]).sum(axis=0, dtype=kind)
-                v, s = np.nonzero(apart == wanted[rows][:, None])
-                yield rows[v], own[s]
+            yield from compare(own, who.rows)
             return
         letter, at, left = halves
         old, low_box, high_box = _split_box(box, letter, at)
         yield from go(own[left], who.below(letter, *low_box[letter], *old), low_box)
         yield from go(own[~left], who.below(letter, *high_box[letter], *old), high_box)
 
+    def compare(own: np.ndarray, rows: np.ndarray):
+        words = ours[:, own]
+        alike = (words == words[:, :1]).all(axis=1)
+        # the letters these words agree in first: few visitors are left for the pairs
+        apart = np.abs(theirs[alike][:, rows] - words[alike][:, :1]).sum(axis=0, dtype=np.int32)
+        left = wanted[rows] - apart
+        rows, left = rows[left >= 0], left[left >= 0]
+        step = max(1, CELLS // words.size)
+        for k in range(0, len(rows), step):
+            near = rows[k : k + step]
+            apart = np.abs(theirs[~alike][:, near, None] - words[~alike][:, None]).sum(axis=0, dtype=ours.dtype)
+            v, s = np.nonzero(apart == left[k : k + step, None])
+            yield near[v], own[s]
+
     yield from go(np.arange(len(stored)), visitors, {})
 
 
