@@ -16,15 +16,18 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import bounded_batches, saved
-from matchlake.llm.tokens import _ALPHABET, vocabulary_path
+from matchlake.llm.tokens import _ALPHABET, _kept_by_worker, gathered, vocabulary_path
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BATCH_CHARS = 2 << 20  # texts merged at a time
@@ -43,6 +46,10 @@ RESULT = (
 _BYTES = {chr(_ALPHABET.get(b, b)): b for b in range(256)}
 # Texts of these characters only are split alike by every Unicode version.
 _PLAIN = re.compile("[ -~\t\n\rÀ-ɏ]*")
+# A space beside other white space, or at an end, may be a token together with it.
+_LOOSE = re.compile(r"\A\s| \s| \Z")
+CACHED_WORDS = 500_000
+WRONG = (b"", b"")
 
 
 # --- the two sides ------------------------------------------------------------------------
@@ -65,6 +72,7 @@ class Sides:
         for token, raw in vocabulary.items():
             self.a[model["vocab"][token]] = raw
         self.quick = self._quick(model, vocabulary)
+        self.seen: dict[str, tuple[bytes, bytes]] = _kept_by_worker((byte_path, piece_path))
         self.pieces = SentencePieceProcessor(model_file=piece_path)
         self.b = [
             bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode()
@@ -72,6 +80,8 @@ class Sides:
             for p in [self.pieces.id_to_piece(i)]
         ]
         self.a_sizes, self.b_sizes = (np.array(list(map(len, t)), np.int64) for t in (self.a, self.b))
+        # no piece goes on over a space, so a word with the space before it has its own pieces
+        self.by_word = not any(" " in p.decode("utf-8", "replace").lstrip(" ") for p in self.b)
         # an id and what follows it in the text form of groups
         self.a_texts, self.b_texts = (
             [np.array([b"%d" % i + mark for i in range(len(t))], object) for mark in marks]
@@ -96,24 +106,61 @@ class Sides:
             return self.quick.encode_ordinary(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def of(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both sides; none where either side's bytes are not the text's."""
-        if not text:
-            return [], []
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides, unless either side's bytes are not the text's."""
         raw = (" " + text).encode("utf-8", "replace")
-        a = self.a_ids(text)
-        if b"".join(map(self.a.__getitem__, a)) != raw:
-            return [], []
-        b = self.pieces.encode(text, num_threads=1)
-        if b"".join(map(self.b.__getitem__, b)) != raw:
-            return [], []
-        return a, b
-
-
-def _tokens(ids: list[list[int]], sizes: np.ndarray, name: str) -> pd.DataFrame:
+        a, b = self.a_ids(text), self.pieces.encode(text, num_threads=1)
+        if b"".join(map(self.a.__getitem__, a)) != raw or b"".join(map(self.b.__getitem__, b)) != raw:
+            return None
+        return np.array(a, np.int32), np.array(b, np.int32)
+
+    def _of_words(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """As ``of``: no token of either side goes on over a single space, so texts are looked up
+        word by word, and a worker keeps the words it has seen."""
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words = parts.flatten().dictionary_encode()
+        known, which = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        if len(self.seen) > CACHED_WORDS:
+            self.seen.clear()
+        own = list(map(self.seen.get, known))
+        if None in own:
+            self._learn([w for w, pair in zip(known, own) if pair is None])
+            own = [self.seen[w] if pair is None else pair for w, pair in zip(known, own)]
+        ends = parts.offsets.to_numpy()
+        wrong = np.r_[0, np.cumsum(np.array([not pair[0] for pair in own], bool)[which])][ends]
+        sides = []
+        for ids in zip(*own):
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat = gathered(np.frombuffer(b"".join(ids), np.int32), sizes, which)
+            sides.append(np.split(flat, np.r_[0, np.cumsum(sizes[which])][ends][1:-1]))
+        return [None if bad else pair for bad, *pair in zip(np.diff(wrong).tolist(), *sides)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words as bytes, or ``WRONG`` where either side does not give the word back."""
+        a_bytes, b_bytes, plain = self.a.__getitem__, self.b.__getitem__, _PLAIN.fullmatch
+        for word, b in zip(words, self.pieces.encode(words, num_threads=1)):
+            quick = self.quick is not None and plain(word)
+            a = self.quick.encode_ordinary(" " + word) if quick else self.a_ids(word)
+            raw = (" " + word).encode("utf-8", "replace")
+            same = b"".join(map(a_bytes, a)) == raw == b"".join(map(b_bytes, b))
+            self.seen[word] = (array("i", a).tobytes(), array("i", b).tobytes()) if same else WRONG
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides of every text; none for one that either side does not give back."""
+        found: list = [None] * len(texts)
+        worded = [i for i, t in enumerate(texts) if t and self.by_word and not _LOOSE.search(t)]
+        for i, pair in zip(worded, self._of_words([texts[i] for i in worded]) if worded else []):
+            found[i] = pair
+        for i in set(range(len(texts))).difference(worded):
+            found[i] = self.of(texts[i]) if texts[i] else None
+        empty = np.array([], np.int32)
+        return [pair or (empty, empty) for pair in found]
+
+
+def _tokens(ids: list[np.ndarray], sizes: np.ndarray, name: str) -> pd.DataFrame:
     """One row per token: document, its place over all texts' bytes, id and number."""
     doc = np.repeat(np.arange(len(ids)), list(map(len, ids)))
-    flat = np.fromiter((i for own in ids for i in own), np.int64, len(doc))
+    flat = np.concatenate([np.array([], np.int64), *ids])
     size = sizes[flat]
     at = np.cumsum(size) - size
     return pd.DataFrame({"doc": doc, "at": at, name: np.arange(len(doc)), f"{name}_id": flat})
@@ -142,7 +189,7 @@ class Aligned:
 
     def __init__(self, texts: list[str | None], sides: Sides):
         self.sides, self.n = sides, len(texts)
-        ids = [sides.of(text) for text in texts]
+        ids = sides.encode(texts)
         self.a = _tokens([a for a, _ in ids], sides.a_sizes, "a")
         self.b = _tokens([b for _, b in ids], sides.b_sizes, "b")
         self.links_a, self.links_b, self.a_first, self.b_first = overlaps(self.a, self.b)
