@@ -52,8 +52,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None)
         words = WordIds(source, "H", special_tokens_are_text=True)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.frombuffer(words.raw(text), "<u2") + np.uint16(1)
+            for doc_id, raw in zip(batch["doc_id"], words.raws(batch["text"].tolist())):
+                ids = np.frombuffer(raw, "<u2") + np.uint16(1)
                 head = id_values(None if pd.isna(doc_id) else int(doc_id))
                 rows.append(head.tobytes() + ids.astype("<u2").tobytes())
             yield pd.DataFrame({"document": rows})
