@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 800_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
