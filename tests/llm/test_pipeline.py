@@ -86,7 +86,7 @@ def test_unusual_documents(spark, rows):
 
 def test_every_operator_has_its_query():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
