@@ -1,4 +1,4 @@
-"""The ordered build: bronze, dimension, silver, mart, tests."""
+"""The build: bronze, dimension, silver, mart, tests, and models of the user's own."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from matchlake.operators.quality import (
     run_suite,
 )
 from matchlake.plans.mart import build_mart
+from matchlake.plans.models import Model, Step, make_models, sorter
 from matchlake.plans.staging import publish_view
 from matchlake.sources.leagues import leagues, read_seed_csv
 from matchlake.sources.matches_csv import read_matches_csv
@@ -36,20 +37,8 @@ class BuildConfig:
     namespaces: Namespaces = field(default_factory=Namespaces)
     allow_quoted_newlines: bool = True
     stop_on_failed_tests: bool = True
-
-
-def build_bronze(spark: SparkSession, cfg: BuildConfig) -> None:
-    # All 48 columns are parsed here, once: a pruned CSV scan would not notice a bad
-    # value in a column it skips.
-    rows = read_matches_csv(spark, cfg.matches_csv, cfg.allow_quoted_newlines)
-    ns = cfg.namespaces
-    write_table(rows, ns.table("raw", BRONZE_TABLE), ns.path("raw", BRONZE_TABLE))
-
-
-def build_seed(spark: SparkSession, cfg: BuildConfig) -> None:
-    rows = read_seed_csv(spark, cfg.leagues_csv) if cfg.leagues_csv else leagues(spark)
-    ns = cfg.namespaces
-    write_table(rows, ns.table("raw", SEED_TABLE), ns.path("raw", SEED_TABLE))
+    models: tuple[Model, ...] = ()  # further models, which may read the ones below
+    sources: Mapping[str, str] = field(default_factory=dict)  # tables of others that they read
 
 
 def build_silver(spark: SparkSession, cfg: BuildConfig) -> None:
@@ -62,13 +51,44 @@ def build_silver(spark: SparkSession, cfg: BuildConfig) -> None:
     )
 
 
-def build_gold(spark: SparkSession, cfg: BuildConfig) -> dict[Check, int]:
-    """Publish the mart; failures of the tests that were decided while it was written."""
-    ns = cfg.namespaces
-    silver = spark.table(ns.table("staging", SILVER_VIEW))
-    watch, name = Watch(MART_CHECKS), ns.table("mart", MART_TABLE)
-    write_mart(build_mart(silver), name, ns.path("mart", MART_TABLE), watch)
-    return watch.failures(spark.table(name).count())  # the count reads file footers only
+def build_models(cfg: BuildConfig) -> list[Model]:
+    """The layers with what they read, and the models of the configuration."""
+
+    def bronze(step: Step) -> None:
+        # All 48 columns are parsed here, once: a pruned CSV scan would not notice a bad
+        # value in a column it skips.
+        rows = read_matches_csv(step.spark, cfg.matches_csv, cfg.allow_quoted_newlines)
+        write_table(rows, step.table, step.path)
+
+    def seed(step: Step) -> None:
+        given = cfg.leagues_csv
+        rows = read_seed_csv(step.spark, given) if given else leagues(step.spark)
+        write_table(rows, step.table, step.path)
+
+    def silver(step: Step) -> None:
+        publish_view(step.spark, step.table, step.ref(BRONZE_TABLE), step.ref(SEED_TABLE))
+
+    def gold(step: Step) -> dict[Check, int]:
+        """Failures of the tests that were decided while the mart was written."""
+        watch = Watch(MART_CHECKS)
+        write_mart(build_mart(step.spark.table(step.ref(SILVER_VIEW))), step.table, step.path, watch)
+        # the count reads file footers only
+        return watch.failures(step.spark.table(step.table).count())
+
+    def report(step: Step) -> None:
+        tested = _report(
+            step.spark, step.ref(SILVER_VIEW), step.ref(SEED_TABLE), step.ref(MART_TABLE), step.result(MART_TABLE)
+        )
+        publish(tested.coalesce(1), step.table, step.path)  # 21 rows
+
+    return [
+        Model(BRONZE_TABLE, "raw", bronze),
+        Model(SEED_TABLE, "raw", seed),
+        Model(SILVER_VIEW, "staging", silver, (BRONZE_TABLE, SEED_TABLE)),
+        Model(MART_TABLE, "mart", gold, (SILVER_VIEW,)),
+        Model(REPORT_TABLE, "mart", report, (SILVER_VIEW, SEED_TABLE, MART_TABLE)),
+        *cfg.models,
+    ]
 
 
 def open_layers(spark: SparkSession, cfg: BuildConfig) -> None:
@@ -82,18 +102,19 @@ def open_layers(spark: SparkSession, cfg: BuildConfig) -> None:
     build_silver(spark, cfg)
 
 
-def quality_report(
-    spark: SparkSession, cfg: BuildConfig, known: Mapping[Check, int] | None = None
+def _report(
+    spark: SparkSession, silver: str, seed: str, mart: str, known: Mapping[Check, int] | None
 ) -> DataFrame:
-    """All 21 tests over the published view and table; ``known`` are the mart's failures that
-    its build counted."""
+    return run_suite(
+        spark.table(silver), SILVER_VIEW, SILVER_CHECKS, {"leagues": spark.table(seed)}
+    ).unionByName(run_suite(read_mart(spark, mart), MART_TABLE, MART_CHECKS, known=known))
+
+
+def quality_report(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
+    """All 21 tests over the published view and table."""
     ns = cfg.namespaces
-    silver = spark.table(ns.table("staging", SILVER_VIEW))
-    seed = spark.table(ns.table("raw", SEED_TABLE))
-    mart = read_mart(spark, ns.table("mart", MART_TABLE))
-    return run_suite(silver, SILVER_VIEW, SILVER_CHECKS, {"leagues": seed}).unionByName(
-        run_suite(mart, MART_TABLE, MART_CHECKS, known=known)
-    )
+    names = ("staging", SILVER_VIEW), ("raw", SEED_TABLE), ("mart", MART_TABLE)
+    return _report(spark, *(ns.table(*name) for name in names), None)
 
 
 def last_report(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
@@ -102,19 +123,15 @@ def last_report(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
 
 
 def run_build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
-    """Build every layer, then run all tests on what was published, and publish their results.
-    Returns the mart.
+    """Build every layer in the order of what it reads, then run all tests on what was
+    published, and publish their results. Returns the mart.
 
     With ``stop_on_failed_tests`` a failure raises; without, it is logged.
     """
+    models = build_models(cfg)
+    sorter(models, cfg.sources)  # nothing is created for models that do not fit together
     cfg.namespaces.create(spark)
-    build_bronze(spark, cfg)
-    build_seed(spark, cfg)
-    build_silver(spark, cfg)
-    known = build_gold(spark, cfg)
-    ns = cfg.namespaces
-    report = quality_report(spark, cfg, known).coalesce(1)  # 21 rows
-    publish(report, ns.table("mart", REPORT_TABLE), ns.path("mart", REPORT_TABLE))
+    make_models(spark, cfg.namespaces, models, cfg.sources)
     try:
         gate(last_report(spark, cfg))
     except QualityError as failed:
