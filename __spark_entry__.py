@@ -103,6 +103,20 @@ def mart_date_range_pruned(spark, sf_dir):
     return tables.match_date_between(stored_mart(spark, sf_dir), "1996-07-01", "1998-06-30")
 
 
+def mart_date_filter_pruned(spark, sf_dir):
+    """A filter on the date alone, over the published name that prunes years by it."""
+    name = published(spark, sf_dir)[1] + tables.BY_DATE
+    rows = spark.sql(f"SELECT * FROM {name} WHERE match_date BETWEEN '1996-07-01' AND '1998-06-30'")
+    return tables.as_mart(rows)
+
+
+def mart_lookup_by_key(spark, sf_dir):
+    """The rows of the smallest key of every division, looked up in the stored mart."""
+    stored = published_mart(spark, sf_dir)
+    keys = stored.groupBy("division").agg(F.min("match_id").alias("match_id"))
+    return stored.join(keys.select("match_id"), "match_id", "left_semi").select(*stored.columns)
+
+
 def built(spark, sf_dir) -> BuildConfig:
     """All layers, built and tested from landed files."""
     root = scratch_path(spark, "build")
@@ -351,6 +365,8 @@ def core_queries() -> dict[str, Query]:
         "fct_matches": mart,
         "mart_write_readback": stored_mart,
         "mart_date_range_pruned": mart_date_range_pruned,
+        "mart_date_filter_pruned": mart_date_filter_pruned,
+        "mart_lookup_by_key": mart_lookup_by_key,
         "medallion_end_to_end": medallion_end_to_end,
         "medallion_test_report": medallion_test_report,
         "safe_cast_date": safe_cast_date,

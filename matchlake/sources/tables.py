@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 from matchlake.schemas import MART_COLUMNS
 
 GRACE_SECONDS = 24 * 3600.0  # how long a query may go on reading a version that was replaced
+CALENDAR = "_calendar"  # within a version of the mart; hidden, so no part of its rows
+BY_DATE = "_by_date"  # ending of the name that filters on the date alone prune
+# Keys look the same in every file, so no statistics skip by them. Divisions and leagues have
+# dictionaries, which skip row groups without a filter of their own.
+MART_OPTIONS = {
+    "parquet.bloom.filter.enabled#match_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",  # as small as a row group's keys allow
+}
 PUBLISHED = "_published"  # folder of markers, one for each publication, named by its time
 
 
@@ -62,6 +70,8 @@ class Namespaces:
             if version is None:
                 raise FileNotFoundError(f"no published version of {table} under {path}")
             point(spark, table, files_of(version))
+            if _names(spark, f"{version}/{CALENDAR}"):
+                point(spark, table + BY_DATE, rows_by_date(version))
 
 
 def _folder(spark: SparkSession, path: str):
@@ -116,8 +126,11 @@ def point(spark: SparkSession, name: str, query: str) -> None:
         spark.sql(f"CREATE VIEW {name} AS {query}")
 
 
-def _write_version(df: DataFrame, version: str, partition_by: Sequence[str]) -> None:
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+def _write_version(
+    df: DataFrame, version: str, partition_by: Sequence[str], options: Mapping[str, str]
+) -> None:
+    writer = df.write.options(**options)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer.parquet(version)
     if partition_by and not any("=" in n for n in _names(df.sparkSession, version)):
         # no rows, so no partition and no file that tells the columns
@@ -144,10 +157,15 @@ def publish(
     path: str | None = None,
     partition_by: Sequence[str] = (),
     grace: float = GRACE_SECONDS,
+    options: Mapping[str, str] | None = None,
+    beside: Callable[[str], None] | None = None,
+    views: Mapping[str, Callable[[str], str]] | None = None,
 ) -> None:
     """Full rebuild of a Parquet table: write a new version, record it, switch the name over.
 
-    Without a path the versions lie in the database's folder. A build that ends before the
+    ``options`` go to the writer. ``beside`` adds to the version what is not its rows, before it
+    is recorded. ``views`` are further names over the version, with their queries; each is
+    switched in one operation too, after the name. Without a path the versions lie in the database's folder. A build that ends before the
     record is made leaves the old rows; one that ends after it leaves the old rows under a name
     that knows them, and the new ones wherever the folder is attached. ``grace`` is in seconds.
     """
@@ -157,7 +175,9 @@ def publish(
     path = path or f"{home}/{table}"
     version = f"{path}/v-{time.time_ns():020d}-{uuid.uuid4().hex}"
     try:
-        _write_version(df, version, partition_by)
+        _write_version(df, version, partition_by, options or {})
+        if beside:
+            beside(version)
     except Exception:
         _remove(spark, version)
         raise
@@ -168,6 +188,8 @@ def publish(
         _remove(spark, mark)
         _remove(spark, version)
         raise
+    for view, query in (views or {}).items():
+        point(spark, view, query(version))
     _clear(spark, path, grace)
 
 
@@ -194,8 +216,36 @@ def write_mart(
     path: str | None = None,
     watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Publish the mart; ``watch`` sees its rows as they are written."""
-    publish(lay_out_mart(mart, watch), name, path, ["match_year"])
+    """Publish the mart, and by date; ``watch`` sees its rows as they are written."""
+    publish(
+        lay_out_mart(mart, watch),
+        name,
+        path,
+        ["match_year"],
+        options=MART_OPTIONS,
+        beside=lambda version: _write_calendar(mart.sparkSession, version),
+        views={name + BY_DATE: rows_by_date},
+    )
+
+
+def _write_calendar(spark: SparkSession, version: str) -> None:
+    """The dates of a version's rows with their years: a row a day, whatever the rows."""
+    rows = spark.read.parquet(version).groupBy("match_date", "match_year").count()
+    rows.drop("count").coalesce(1).write.parquet(f"{version}/{CALENDAR}")
+
+
+def rows_by_date(version: str) -> str:
+    """The rows of a version, each joined to its day in the calendar of the same version.
+
+    A filter on the date reaches the calendar through the join, and what is left of the
+    calendar prunes the year folders when the query runs. The calendar is made from the rows
+    themselves, so only rows without a date are left out, and the mart has none.
+    """
+    place = version.replace("`", "``")
+    return f"""
+        SELECT m.* FROM parquet.`{place}` m
+        JOIN parquet.`{place}/{CALENDAR}` c ON m.match_date = c.match_date AND m.match_year = c.match_year
+        """
 
 
 def as_mart(df: DataFrame) -> DataFrame:
