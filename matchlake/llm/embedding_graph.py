@@ -1,11 +1,13 @@
 """Near-duplicate embeddings through a robust-pruned flat graph.
 
 Vectors of a label are dealt to overlapping shards around pivots: to the nearest pivot (home)
-and to all that are nearly as near. In every shard a flat graph is built with robust pruning;
+and the next few, as many at every size of the table. In every shard a flat graph is built with robust pruning;
 a vector's neighbour lists of all its shards are joined to one. Every vector is then a query
 in its home shard: a greedy search from medoids, and from the vector itself where it is a
 member, whose result is expanded along the graph as long as vertices stay near. What it finds
-is verified by the exact cosine. Recall is audited against brute force.
+is verified by the exact cosine. Recall is audited against brute force in every run: where it
+falls short the vectors are dealt to twice as many shards, in the end to all that could hold a
+link, and a recall that stays low is an error.
 
 Equal vectors are one vertex with a weight. A shard too large for a task is cut into parts;
 each part has its own graph, and each part of the queries visits each part of the members.
@@ -13,6 +15,8 @@ each part has its own graph, and each part of the queries visits each part of th
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -21,12 +25,17 @@ from pyspark.sql import functions as F
 from matchlake.llm.common import drawn, saved
 from matchlake.llm.components import connected_components
 
+LOG = logging.getLogger(__name__)
 COSINE = 0.98
 EXPAND_COSINE = 0.95  # vertices this near are expanded, though only COSINE links
-SHARD = 1_500  # vectors wanted around a pivot
+SHARD = 250  # vectors wanted around a pivot
 MOST_PIVOTS = 16_384  # bounds what is broadcast; more vectors make larger shards
 PART = 8_000  # members, or queries, of a shard in one task
-MARGIN = np.deg2rad(12.0)  # shards whose pivot is at most this much farther hold the vector too
+OVERLAP = 6  # shards of a vector, home included
+# A linked vector's home is farther from the other by at most this much than the other's own.
+MARGIN = 2 * np.arccos(COSINE)
+WANTED_RECALL = 0.98  # by the audit; below it the overlap is doubled
+LEAST_RECALL = 0.9  # an error where even the full overlap finds less
 POOL, DEGREE, ALPHA = 48, 24, 1.2
 BEAM = 24
 MEDOIDS = 64
@@ -235,21 +244,23 @@ def _pivots(vertices: DataFrame) -> dict[tuple[int, int], np.ndarray]:
     return {k: _matrix(v) for k, v in out.items()}
 
 
-def _dealt(vertices: DataFrame, pivots: dict) -> DataFrame:
-    """Vertices with the shards they are members of; the first is their home."""
+def _dealt(vertices: DataFrame, pivots: dict, overlap: int) -> DataFrame:
+    """Vertices with the at most ``overlap`` shards they are members of; the first is their home."""
     shared = vertices.sparkSession.sparkContext.broadcast(pivots)
 
     def run(batches):
         for batch in batches:
-            shards = []
-            for label, dim, unit in zip(batch["label"], batch["dim"], batch["unit"]):
-                own = shared.value.get((label, dim))
-                if own is None:
-                    shards.append([0])
-                    continue
-                angle = np.arccos(np.clip(own @ np.frombuffer(bytes(unit), "<f8"), -1, 1))
-                order = np.argsort(angle, kind="stable")
-                shards.append(order[angle[order] <= angle[order[0]] + MARGIN].tolist())
+            shards = [[0]] * len(batch)
+            for group, rows in batch.groupby(GROUP).indices.items():
+                own = shared.value.get(group)
+                for at in range(0, len(rows) if own is not None else 0, 256):
+                    some = rows[at : at + 256]
+                    cosine = _matrix(batch["unit"].iloc[some]) @ own.T
+                    angle = np.arccos(np.clip(cosine, -1, 1))
+                    near = np.argsort(angle, axis=1, kind="stable")[:, :overlap]
+                    far = np.take_along_axis(angle, near, axis=1)
+                    for row, order, held in zip(some.tolist(), near, far <= far[:, :1] + MARGIN):
+                        shards[row] = order[held].tolist()
             yield batch.assign(shards=shards)
 
     return vertices.mapInPandas(run, NODES + ", shards array<int>")
@@ -271,10 +282,10 @@ def _parts(dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, queries
 
 
-def link(vertices: DataFrame) -> DataFrame:
+def link(vertices: DataFrame, pivots: dict, overlap: int) -> DataFrame:
     """``node, links, joined``: summed weights of linked vertices, and a vertex of the same
     component; several rows to a node."""
-    dealt = saved(_dealt(vertices, _pivots(vertices)), "graph-dealt")
+    dealt = saved(_dealt(vertices, pivots, overlap), "graph-dealt")
     members, queries = _parts(dealt)
     key = [*GROUP, "shard", "part"]
     lists = members.select(*key, "node", "unit").groupBy(*key).applyInPandas(
@@ -297,23 +308,47 @@ def link(vertices: DataFrame) -> DataFrame:
     return saved(found, "graph-links")
 
 
+def _links(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``link`` finds and the links of every vertex, under the first overlap whose audited
+    recall is good enough."""
+    pivots = _pivots(vertices)
+    every = max((len(p) for p in pivots.values()), default=1)
+    overlap = OVERLAP
+    while True:
+        found = link(vertices, pivots, overlap)
+        counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+        counts = counts.join(vertices.select("node", "weight"), "node").select(
+            "node", (F.col("links") + F.col("weight") - 1).alias("n_links")
+        )
+        counts = saved(counts, "graph-counts")
+        recall = _recall(vertices, counts, AUDITED)
+        LOG.info("recall %.4f with %d shards a vector", recall, overlap)
+        if recall >= WANTED_RECALL:
+            return found, counts
+        if overlap >= every:
+            if recall < LEAST_RECALL:
+                raise RuntimeError(f"the graph finds {recall:.3f} of the audited links, wanted {LEAST_RECALL}")
+            return found, counts
+        overlap *= 2
+
+
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
     Vectors link if their labels are equal and not null and their cosine is at least
     ``COSINE``. A vector that is null, empty, zero or holds a null or non-finite component, and
     one without an id, links with nothing and is its own component; vectors of different
-    lengths do not link. Rows with the same id are one vector (that with the smallest hash),
+    lengths do not link. Audited before it is returned; a recall below ``LEAST_RECALL`` under
+    the widest overlap raises. Rows with the same id are one vector (that with the smallest hash),
     each with the same result; equal vectors link. An empty table gives no rows; other columns
     are ignored.
     """
     ids, vertices = _vertices(vectors)
-    found = link(vertices)
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    found, counts = _links(vertices)
     roots = connected_components(found, "node", "joined")
-    nodes = counts.join(roots, "node", "left").select("node", "links", F.coalesce("root", "node").alias("root"))
+    nodes = counts.join(roots, "node", "left").select("node", "n_links", F.coalesce("root", "node").alias("root"))
     known = ids.join(saved(nodes, "graph-nodes"), "node").select(
-        F.col("vec_id").alias("id"), (F.col("links") + F.col("weight") - 1).alias("links"), "root"
+        F.col("vec_id").alias("id"), F.col("n_links").alias("links"), "root"
     )
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
     return own.join(saved(known, "graph-result"), F.col("vec_id") == F.col("id"), "left").select(
@@ -330,8 +365,12 @@ def audit_recall(vectors: DataFrame, found: DataFrame, queries: int = AUDITED) -
     Brute force: every vector is compared with the queries, which are the ids with the
     smallest hashes among those that link in truth or by the search. 1.0 without links.
     """
-    ids, vertices = _vertices(vectors)
-    linked = found.where("n_links > 0").select(F.col("vec_id").alias("node"))
+    _, vertices = _vertices(vectors)
+    return _recall(vertices, found.select(F.col("vec_id").alias("node"), "n_links"), queries)
+
+
+def _recall(vertices: DataFrame, found: DataFrame, queries: int) -> float:
+    linked = found.where("n_links > 0").select("node")
     order = [F.xxhash64("node"), "node"]
     some = vertices.join(linked, "node").orderBy(*order).limit(queries)
     rows = some.unionByName(vertices.orderBy(*order).limit(queries)).dropDuplicates(["node"]).collect()
@@ -340,7 +379,7 @@ def audit_recall(vectors: DataFrame, found: DataFrame, queries: int = AUDITED) -
         own = asked.setdefault((r.label, r.dim), ([], []))
         own[0].append(r.node)
         own[1].append(bytes(r.unit))
-    shared = vectors.sparkSession.sparkContext.broadcast(asked)
+    shared = vertices.sparkSession.sparkContext.broadcast(asked)
 
     def count(batches):
         total: dict[int, int] = {}
@@ -354,7 +393,7 @@ def audit_recall(vectors: DataFrame, found: DataFrame, queries: int = AUDITED) -
         yield pd.DataFrame({"node": list(total), "n": list(total.values())}, dtype="int64")
 
     truth = vertices.mapInPandas(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    both = truth.join(found.withColumnRenamed("vec_id", "node"), "node").agg(
+    both = truth.join(found, "node").agg(
         F.sum(F.col("n") - 1), F.sum(F.least(F.col("n") - 1, F.col("n_links")))
     ).first()
     return 1.0 if not both[0] else both[1] / both[0]

@@ -46,6 +46,59 @@ def test_whole_table(spark):
     assert result(vectors) == want
 
 
+def test_whole_table_over_several_shards(spark, monkeypatch):
+    """The same table with some pivots to every label, so that dealing and overlap are used."""
+    monkeypatch.setattr(g, "SHARD", 4)
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    _, vertices = g._vertices(vectors)
+    pivots = g._pivots(vertices)
+    assert len(pivots) == 10 and min(map(len, pivots.values())) > g.OVERLAP
+    want = plain([(r.vec_id, r.embedding, r.label) for r in vectors.collect()])
+    assert result(vectors) == want
+
+
+def clustered(n, dim, seed):
+    """Vectors in near pairs and small near groups."""
+    draw = np.random.default_rng(seed)
+    x = draw.normal(size=(n, dim))
+    of = np.arange(n) // 3 * 3
+    x = x[of] + 0.1 * draw.normal(size=(n, dim)) * (np.arange(n) % 3 > 0)[:, None]
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_shards_of_a_vector_do_not_grow_with_the_pivots(spark):
+    x = clustered(2_000, 64, 8)
+    vertices = spark.createDataFrame(
+        [(i, 1, 1, 64, v.tobytes()) for i, v in enumerate(x)], "node long, weight long, label long, dim int, unit binary"
+    )
+    for n in (16, 64, 256):
+        dealt = g._dealt(vertices, {(1, 64): x[:: len(x) // n][:n]}, g.OVERLAP)
+        most, mean = dealt.agg(F.max(F.size("shards")), F.avg(F.size("shards"))).first()
+        assert most == g.OVERLAP and 4 < mean <= g.OVERLAP
+
+
+def test_overlap_grows_until_the_audit_is_met(spark, monkeypatch):
+    monkeypatch.setattr(g, "SHARD", 12)
+    monkeypatch.setattr(g, "OVERLAP", 1)
+    rows = [(i, v, 1) for i, v in enumerate(clustered(600, 64, 5).tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    _, vertices = g._vertices(vectors)
+    tried, link = [], g.link
+    monkeypatch.setattr(g, "link", lambda v, p, overlap: tried.append(overlap) or link(v, p, overlap))
+    g._links(vertices)
+    assert tried == [2**i for i in range(len(tried))] and len(tried) > 1
+    want, got = plain(rows), result(vectors)
+    assert sum(b[1] for b in got) >= 0.98 * sum(a[1] for a in want) > 0
+
+
+def test_a_recall_that_stays_low_is_an_error(spark, monkeypatch):
+    rows = [(i, v, 1) for i, v in enumerate(clustered(90, 16, 2).tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(g.Searcher, "near", lambda self, query, own=-1: (np.array([], np.int64), np.array([])))
+    with pytest.raises(Exception, match="0.000 of the audited links"):
+        g.near_duplicates(vectors)
+
+
 @pytest.mark.parametrize("shard, part", [(150, 100_000), (150, 60), (100_000, 100)])
 def test_shards_and_parts(spark, monkeypatch, shard, part):
     """Pairs, chains and one dense group, over several shards and parts of shards."""
