@@ -57,7 +57,8 @@ def _prune(pool: np.ndarray, similarity: np.ndarray, vectors: np.ndarray) -> np.
     n, size = pool.shape
     kept = np.full((n, DEGREE), -1, np.int64)
     far = 1 - similarity
-    between = 1 - np.einsum("nid,njd->nij", vectors[pool], vectors[pool])
+    pooled = vectors[pool]
+    between = 1 - pooled @ pooled.transpose(0, 2, 1)
     alive, rows = pool >= 0, np.arange(n)
     for k in range(DEGREE):
         chosen = alive.argmax(axis=1)
