@@ -31,7 +31,7 @@ EXPAND_COSINE = 0.95  # vertices this near are expanded, though only COSINE link
 SHARD = 250  # vectors wanted around a pivot
 MOST_PIVOTS = 16_384  # bounds what is broadcast; more vectors make larger shards
 PART = 8_000  # members, or queries, of a shard in one task
-OVERLAP = 6  # shards of a vector, home included
+OVERLAP = 8  # shards of a vector, home included
 # A linked vector's home is farther from the other by at most this much than the other's own.
 MARGIN = 2 * np.arccos(COSINE)
 WANTED_RECALL = 0.98  # by the audit; below it the overlap is doubled
