@@ -124,7 +124,7 @@ def built(spark, sf_dir) -> BuildConfig:
     names = tables.Namespaces(
         raw=f"raw_{run}", staging=f"staging_{run}", mart=f"mart_{run}", root=root
     )
-    landed = land_csv(matches(spark, sf_dir), f"{root}/landed")
+    landed = land_csv(matches(spark, sf_dir, spread=True), f"{root}/landed")
     # The derived rows fail some data tests on purpose; the reports show those counts.
     cfg = BuildConfig(landed, namespaces=names, stop_on_failed_tests=False)
     run_build(spark, cfg)
@@ -149,7 +149,7 @@ def published(spark, sf_dir) -> tuple[str, str]:
         root = scratch_path(spark, "published")
         run = root.rsplit("-", 1)[1]
         raw, seed, view, fact = (f"default.{n}_{run}" for n in ("raw", "leagues", "stg", "fct"))
-        tables.write_table(matches(spark, sf_dir), raw, f"{root}/raw")
+        tables.write_table(matches(spark, sf_dir, spread=True), raw, f"{root}/raw")
         tables.write_table(leagues(spark), seed, f"{root}/leagues")
         publish_view(spark, view, raw, seed)
         tables.write_mart(build_mart(spark.table(view)), fact, f"{root}/mart")

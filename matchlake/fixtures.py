@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.schemas import BRONZE_COLUMNS, BRONZE_TEXT, LEAGUES
+from matchlake.session import compiled_methods
 
+READ = ["l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
 # Used by many columns, so computed once per row in a step of their own.
 SHARED = {
     "pk": "l_partkey",
@@ -75,5 +77,13 @@ def matches_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+def matches(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread`` deals the line items to all cores first, however few row groups they lie in;
+    for rows that are derived to be written."""
+    compiled_methods(spark)  # 48 derived columns are far beyond one compiled method
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if spread:
+        rows = lineitem.select(*READ)
+        tasks = max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+        lineitem = rows.repartition(tasks, *READ)
+    return matches_from_lineitem(lineitem)

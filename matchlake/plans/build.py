@@ -20,6 +20,7 @@ from matchlake.operators.quality import (
 from matchlake.plans.mart import build_mart
 from matchlake.plans.models import Model, Step, make_models, sorter
 from matchlake.plans.staging import publish_view
+from matchlake.session import compiled_methods
 from matchlake.sources.leagues import leagues, read_seed_csv
 from matchlake.sources.matches_csv import read_matches_csv
 from matchlake.sources.tables import Namespaces, current, publish, read_mart, write_mart, write_table
@@ -130,6 +131,7 @@ def run_build(spark: SparkSession, cfg: BuildConfig) -> DataFrame:
     """
     models = build_models(cfg)
     sorter(models, cfg.sources)  # nothing is created for models that do not fit together
+    compiled_methods(spark)
     cfg.namespaces.create(spark)
     make_models(spark, cfg.namespaces, models, cfg.sources)
     try:
