@@ -53,8 +53,12 @@ CSV_OUT = {
 }
 
 
-def land_csv(rows: DataFrame, path: str) -> str:
-    rows.write.mode("overwrite").options(**CSV_OUT).csv(path)
+# A compressed file is read by one task, so it is kept to about a block of text.
+CSV_LZ4 = {"compression": "lz4", "maxRecordsPerFile": "250000"}
+
+
+def land_csv(rows: DataFrame, path: str, **options: str) -> str:
+    rows.write.mode("overwrite").options(**CSV_OUT, **options).csv(path)
     return path
 
 
@@ -124,7 +128,7 @@ def built(spark, sf_dir) -> BuildConfig:
     names = tables.Namespaces(
         raw=f"raw_{run}", staging=f"staging_{run}", mart=f"mart_{run}", root=root
     )
-    landed = land_csv(matches(spark, sf_dir, spread=True), f"{root}/landed")
+    landed = land_csv(matches(spark, sf_dir, spread=True), f"{root}/landed", **CSV_LZ4)
     # The derived rows fail some data tests on purpose; the reports show those counts.
     cfg = BuildConfig(landed, namespaces=names, stop_on_failed_tests=False)
     run_build(spark, cfg)

@@ -1,9 +1,14 @@
 """What keeps the build in proportion to its input: compiled stages, spread rows, unshuffled lines."""
 
+import os
+
+from test_csv import SMALL, values, write
 from test_models import plan_of
 
+import __spark_entry__ as entry
 from matchlake.fixtures import matches
-from matchlake.session import METHOD_LIMIT
+from matchlake.session import METHOD_LIMIT, scratch_path
+from matchlake.sources.matches_csv import read_matches_csv
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,3 +25,24 @@ def test_rows_to_be_written_are_derived_by_all_cores(spark):
     spread, plain = matches(spark, SF, spread=True), matches(spark, SF)
     assert len([1 for n in spread.rdd.glom().map(len).collect() if n]) == spark.sparkContext.defaultParallelism
     assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+
+
+def test_lines_of_large_files_are_not_shuffled(spark, conf, tmp_path):
+    conf(
+        spark__sql__files__maxPartitionBytes="400",
+        spark__sql__files__openCostInBytes="1",
+        spark__sql__autoBroadcastJoinThreshold="-1",  # as for lists that are estimated too large
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    )
+    path = write(tmp_path / "m.csv", [(str(i), "a\nb" if i % 9 == 0 else "c", "d", "1") for i in range(300)])
+    df = read_matches_csv(spark, path, schema=SMALL)
+    assert len(values(df)) == 300 and "SortMergeJoin" not in plan_of(df)
+
+
+def test_landed_files_are_compressed_and_bounded(spark):
+    path = entry.land_csv(matches(spark, SF), scratch_path(spark, "landed-test"), **entry.CSV_LZ4)
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part")]
+    assert files and all(f.endswith(".lz4") for f in files) and int(entry.CSV_LZ4["maxRecordsPerFile"]) <= 500_000
+    back = read_matches_csv(spark, path)
+    want = matches(spark, SF)
+    assert back.exceptAll(want).isEmpty() and want.exceptAll(back).isEmpty()
