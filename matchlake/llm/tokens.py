@@ -99,6 +99,8 @@ class WordIds:
         parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         words = parts.flatten().dictionary_encode()
         known = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        if len(self.seen) > CACHED_WORDS:
+            self.seen.clear()
         own = list(map(self.seen.get, known))
         if None in own:
             self._learn([w for w, ids in zip(known, own) if ids is None])
