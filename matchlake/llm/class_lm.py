@@ -7,13 +7,15 @@ with extra outcomes for unknown words. Together they have the share of training
 likely, so that a word never seen costs more than a rare known one. Class transitions are
 smoothed by adding one.
 
-Texts are read once and stored as integers in chunks of bounded size, each with a vocabulary
-of its own. A word's counts and its contexts (classes before and after it) are brought
-together by the word's 64-bit hash; one chunk sends each of its words once, however often it
-stands there. Exchange sweeps then move every word to the class that raises the likelihood of
-its contexts most, all words at a time, until ``SWEEPS`` are done; a sweep reads the words'
-context vectors only and adds up one small matrix. The classes go back to the chunks, where
-every text is scored.
+Texts are read once and kept as integers in chunks of bounded size, each with a vocabulary
+of its own. Words are brought together by their 64-bit hash, in parts; a part remembers which
+of its words every chunk has, and in which order. In an exchange sweep the chunks count the
+contexts of their words (the current classes before and after them), one chunk sending each
+of its words once, however often it stands there; the parts add the contexts up, and every
+word moves to the class that raises the likelihood of its contexts most, all words at a time.
+The classes go back to the chunks, a byte a word, where the next sweep counts under them and,
+after ``SWEEPS`` of them, every text is scored. Chunks and parts stay where they are: both are
+partitioned once and kept on disk, so that a sweep shuffles classes and contexts only.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import bounded_batches, fold, saved
+from matchlake.llm.common import bounded_batches, discard, fold, saved
 
 HELD_OUT = (7, 2)  # rows with this remainder of crc32(doc_id) are not learned from
 CLASSES = 32  # class 0 is the end of a text
@@ -39,15 +43,17 @@ END = 0  # its number in every chunk
 END_HASH = xxhash.xxh64_intdigest(b" ")  # no word holds a space
 
 CHUNK = "chunk long, tokens binary, lengths binary, ids binary, flags binary, words binary, first binary"
-BLOCK = (
-    "part int, chunk long, numbers binary, words binary, counts binary, first binary, "
-    "owners binary, slots binary, seen binary"
+WORDS = "part int, chunk long, words binary, counts binary"
+PLACES = (
+    "part int, counts binary, chunks binary, sizes binary, places binary, "
+    "tokens long, known long, once long"
 )
+BLOCK = "part int, chunk long, classes binary, owned binary, slots binary, seen binary"
 VECTORS = (
     "part int, counts binary, first binary, owners binary, slots binary, seen binary, "
-    "chunks binary, sizes binary, numbers binary, places binary"
+    "chunks binary, sizes binary, places binary"
 )
-CLASS_MAP = "chunk long, numbers binary, classes binary, counts binary"
+CLASS_MAP = "chunk long, part int, classes binary, counts binary"
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, base double, emission double, "
     "pairs binary, seen binary, k int, n long"
@@ -58,6 +64,19 @@ def _of(raw, kind: str) -> np.ndarray:
     return np.frombuffer(bytes(raw), kind)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit integers as compressed planes of their bytes."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view("u1").reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(raw) -> np.ndarray:
+    raw = bytes(raw)
+    size = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], 4 * size, "zstd", asbytes=True), "u1")
+    return planes.reshape(4, size).T.copy().view("<u4").ravel().astype(np.int64)
+
+
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
@@ -97,7 +116,7 @@ class Chunk:
         first[END] = 0
         return (
             number,
-            np.concatenate(self.tokens).tobytes(),
+            _packed(np.concatenate(self.tokens)),
             np.array([len(t) for t in self.tokens], "<i4").tobytes(),
             np.array(self.ids, "<i8").tobytes(),
             np.array(self.flags, "u1").tobytes(),
@@ -122,11 +141,11 @@ def _encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Texts:
-    """A stored chunk, opened."""
+    """A kept chunk, opened."""
 
     def __init__(self, row):
         self.chunk = int(row.chunk)
-        self.tokens = _of(row.tokens, "<i4").astype(np.int64)
+        self.tokens = _unpacked(row.tokens)
         self.lengths = _of(row.lengths, "<i4").astype(np.int64)
         self.flags = _of(row.flags, "u1")
         self.before = np.concatenate(([END], self.tokens[:-1]))  # a text begins after an end
@@ -136,72 +155,129 @@ class Texts:
 # --- words and their contexts ---------------------------------------------------------
 
 
-def _blocks(parts: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                texts, words = Texts(row), _of(row.words, "<u8")
-                first = _of(row.first, "u1")
-                part = (words % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                place = np.empty(len(order), np.int64)
-                place[order] = np.arange(len(order))
-                tokens, before = texts.tokens[texts.learned], texts.before[texts.learned]
-                counts = np.bincount(tokens, minlength=len(words))[order]
-                keys, seen = np.unique(
-                    np.concatenate(
-                        (
-                            place[tokens] * SLOTS + first[before],
-                            place[before] * SLOTS + CLASSES + first[tokens],
-                        )
-                    ),
-                    return_counts=True,
-                )
-                owners, slots = np.divmod(keys, SLOTS)
-                edges = np.searchsorted(part[order], np.arange(parts + 1))
-                inner = np.searchsorted(owners, edges)
-                out = [
-                    (
-                        p, texts.chunk, order[a:b].astype("<i4").tobytes(), words[order[a:b]].tobytes(),
-                        counts[a:b].astype("<i4").tobytes(), first[order[a:b]].tobytes(),
-                        (owners[c:d] - a).astype("<i4").tobytes(), slots[c:d].astype("u1").tobytes(),
-                        seen[c:d].astype("<i4").tobytes(),
-                    )
-                    for p, (a, b, c, d) in enumerate(zip(edges, edges[1:], inner, inner[1:]))
-                    if b > a
-                ]
-                yield pd.DataFrame(out, columns=_names(BLOCK))
+def _by_part(row, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's words (numbers) part by part, and where each part begins."""
+    part = (_of(row.words, "<u8") % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _words(parts: int):
+    def run(chunks: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in chunks.itertuples():
+            texts, (order, edges) = Texts(row), _by_part(row, parts)
+            words = _of(row.words, "<u8")[order]
+            counts = np.bincount(texts.tokens[texts.learned], minlength=len(words))[order]
+            out += [
+                (p, texts.chunk, words[a:b].tobytes(), counts[a:b].astype("<i4").tobytes())
+                for p, (a, b) in enumerate(zip(edges, edges[1:]))
+                if b > a
+            ]
+        return pd.DataFrame(out, columns=_names(WORDS))
 
     return run
 
 
-def _gather(blocks: pd.DataFrame) -> pd.DataFrame:
-    """The words of one part: counts and contexts over all chunks, and where they stand."""
+def _places(blocks: pd.DataFrame) -> pd.DataFrame:
+    """The words of one part: counts over all chunks, and which of them every chunk has."""
     words = np.concatenate([_of(b, "<u8") for b in blocks["words"]])
-    distinct, at, place = np.unique(words, return_index=True, return_inverse=True)
+    distinct, place = np.unique(words, return_inverse=True)
     counts = np.concatenate([_of(b, "<i4") for b in blocks["counts"]])
     total = np.bincount(place, counts, len(distinct)).astype("<i8")
-    first = np.concatenate([_of(b, "u1") for b in blocks["first"]])[at]
-    sizes = np.array([len(b) // 4 for b in blocks["numbers"]])
-    shift = np.repeat(np.cumsum(sizes) - sizes, [len(b) // 4 for b in blocks["owners"]])
-    owners = place[np.concatenate([_of(b, "<i4") for b in blocks["owners"]]) + shift]
-    slots = np.concatenate([_of(b, "u1") for b in blocks["slots"]])
-    seen = np.concatenate([_of(b, "<i4") for b in blocks["seen"]]).astype(np.int64)
-    keys, seen = _sum_by(owners * SLOTS + slots, seen)
+    sizes = np.array([len(b) // 8 for b in blocks["words"]], "<i4")
     return pd.DataFrame(
         [
             (
-                blocks["part"].iloc[0], total.tobytes(), first.tobytes(),
-                (keys // SLOTS).astype("<i4").tobytes(), (keys % SLOTS).astype("u1").tobytes(),
-                seen.astype("<i8").tobytes(), blocks["chunk"].to_numpy("<i8").tobytes(),
-                sizes.astype("<i4").tobytes(), b"".join(map(bytes, blocks["numbers"])),
-                place.astype("<i4").tobytes(),
+                blocks["part"].iloc[0], total.tobytes(), blocks["chunk"].to_numpy("<i8").tobytes(),
+                sizes.tobytes(), place.astype("<i4").tobytes(),
+                total.sum(), (total > 0).sum(), (total == 1).sum(),
             )
         ],
-        columns=_names(VECTORS),
+        columns=_names(PLACES),
     )
 
 
+def _pairs(owners: np.ndarray, classes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``owner * CLASSES + class`` in order, and how often each occurs."""
+    keys = owners * CLASSES + classes
+    if size * CLASSES > max(1 << 22, 4 * len(keys)):
+        return np.unique(keys, return_counts=True)
+    seen = np.bincount(keys)
+    keys = np.flatnonzero(seen)
+    return keys, seen[keys]
+
+
+def _own_classes(row, maps: pd.DataFrame, order: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Classes of a chunk's words: the first ones as long as there are no others."""
+    classes = _of(row.first, "u1").astype(np.int64)
+    for part, own in zip(maps["part"], maps["classes"]):
+        classes[order[edges[part] : edges[part + 1]]] = _of(own, "u1")
+    return classes
+
+
+def _contexts(parts: int):
+    """Contexts of a chunk's words under the current classes, a block for each part."""
+
+    def run(chunks: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in chunks.itertuples():
+            texts, (order, edges) = Texts(row), _by_part(row, parts)
+            classes = _own_classes(row, maps, order, edges)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            tokens, before = texts.tokens[texts.learned], texts.before[texts.learned]
+            left, n_left = _pairs(place[tokens], classes[before], len(order))
+            right, n_right = _pairs(place[before], classes[tokens], len(order))
+            keys = np.concatenate(
+                (
+                    left // CLASSES * SLOTS + left % CLASSES,
+                    right // CLASSES * SLOTS + CLASSES + right % CLASSES,
+                )
+            )
+            by_key = np.argsort(keys, kind="stable")
+            owners, slots = np.divmod(keys[by_key], SLOTS)
+            seen = np.concatenate((n_left, n_right))[by_key].astype("<i4")
+            owned, slots = np.bincount(owners, minlength=len(order)).astype("u1"), slots.astype("u1")
+            inner = np.searchsorted(owners, edges)
+            classes = classes[order].astype("u1")
+            out += [
+                (
+                    p, texts.chunk, classes[a:b].tobytes(), owned[a:b].tobytes(),
+                    slots[c:d].tobytes(), seen[c:d].tobytes(),
+                )
+                for p, (a, b, c, d) in enumerate(zip(edges, edges[1:], inner, inner[1:]))
+                if b > a
+            ]
+        return pd.DataFrame(out, columns=_names(BLOCK))
+
+    return run
+
+
+def _gather(places: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+    """The words of one part with their classes and their contexts over all chunks."""
+    out = []
+    for row in places.itertuples():
+        place, sizes = _of(row.places, "<i4").astype(np.int64), _of(row.sizes, "<i4")
+        at = dict(zip(_of(row.chunks, "<i8").tolist(), (np.cumsum(sizes) - sizes).tolist()))
+        first = np.zeros(len(row.counts) // 8, "u1")
+        keys, seen = [], []
+        for b in blocks.itertuples():
+            own = place[at[b.chunk] : at[b.chunk] + len(b.classes)]
+            first[own] = _of(b.classes, "u1")
+            keys.append(np.repeat(own * SLOTS, _of(b.owned, "u1")) + _of(b.slots, "u1"))
+            seen.append(_of(b.seen, "<i4").astype(np.int64))
+        keys, seen = _sum_by(np.concatenate(keys), np.concatenate(seen))
+        out.append(
+            (
+                row.part, row.counts, first.tobytes(), (keys // SLOTS).astype("<i4").tobytes(),
+                (keys % SLOTS).astype("u1").tobytes(), seen.astype("<i8").tobytes(),
+                row.chunks, row.sizes, row.places,
+            )
+        )
+    return pd.DataFrame(out, columns=_names(VECTORS))
+
+
 # --- exchange sweeps ------------------------------------------------------------------
 
 
@@ -254,17 +330,19 @@ def _summed(counts: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _class_maps(contexts: np.ndarray):
+def _class_maps(contexts: np.ndarray, counted: bool):
+    """The classes that a part's words move to, for each chunk that has some of them."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 classes, counts = assign(row, contexts), _of(row.counts, "<i8")
-                numbers, places = _of(row.numbers, "<i4"), _of(row.places, "<i4")
+                places = _of(row.places, "<i4")
                 edges = np.concatenate(([0], np.cumsum(_of(row.sizes, "<i4"))))
                 out = [
                     (
-                        int(chunk), numbers[a:b].tobytes(), classes[places[a:b]].astype("u1").tobytes(),
-                        counts[places[a:b]].tobytes(),
+                        int(chunk), row.part, classes[places[a:b]].astype("u1").tobytes(),
+                        counts[places[a:b]].tobytes() if counted else b"",
                     )
                     for chunk, a, b in zip(_of(row.chunks, "<i8"), edges, edges[1:])
                 ]
@@ -276,19 +354,17 @@ def _class_maps(contexts: np.ndarray):
 # --- scoring --------------------------------------------------------------------------
 
 
-def _scorer(tokens_learned: int, distinct: int):
+def _scorer(tokens_learned: int, distinct: int, parts: int):
     width = CLASSES + 1
     ratio = np.log10(tokens_learned + distinct + 1)
 
     def run(chunks: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in chunks.itertuples():
-            texts = Texts(row)
-            size = sum(len(b) // 4 for b in maps["numbers"])
-            classes, counts = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            for numbers, own, seen in zip(maps["numbers"], maps["classes"], maps["counts"]):
-                at = _of(numbers, "<i4")
-                classes[at], counts[at] = _of(own, "u1"), _of(seen, "<i8")
+            texts, (order, edges) = Texts(row), _by_part(row, parts)
+            classes, counts = _own_classes(row, maps, order, edges), np.zeros(len(order), np.int64)
+            for part, seen in zip(maps["part"], maps["counts"]):
+                counts[order[edges[part] : edges[part + 1]]] = _of(seen, "<i8")
             classes[counts == 0] = UNKNOWN
             starts = np.cumsum(texts.lengths) - texts.lengths
             known = np.add.reduceat((counts > 0)[texts.tokens].astype(np.int64), starts)
@@ -367,27 +443,38 @@ def score_documents(docs: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
         F.col("text").cast("string").alias("text"),
         (fold(F.col("doc_id"), modulus) == held_out).alias("held_out"),
     )
-    chunks = saved(rows.mapInPandas(_encode, CHUNK), "class-lm-chunks")
+    spark = docs.sparkSession
+    places_at = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the partitioning is known to Spark as long as the rows are kept: joins by chunk move the classes
+    chunks = rows.mapInPandas(_encode, CHUNK).repartition(places_at, "chunk").persist(StorageLevel.DISK_ONLY)
     words = chunks.agg(F.sum(F.octet_length("words") / 8)).first()[0] or 0
     parts = 1 + int(words) // WORDS_PER_PART
-    blocks = chunks.select("chunk", "tokens", "lengths", "flags", "words", "first").mapInPandas(
-        _blocks(parts), BLOCK
-    )
-    vectors = saved(blocks.groupBy("part").applyInPandas(_gather, VECTORS), "class-lm-vectors")
-    slim = vectors.select("counts", "first", "owners", "slots", "seen")
-    contexts, size = None, (SLOTS + 1) * CLASSES
-    for _ in range(sweeps):
-        found = _summed(slim.mapInPandas(_context_counts(contexts), "k int, n long"), size + 3)
+    found = chunks.groupBy("chunk").applyInPandas(_words(parts), WORDS).groupBy("part")
+    places = found.applyInPandas(_places, PLACES).repartition(places_at, "part").persist(StorageLevel.DISK_ONLY)
+    sums = places.agg(F.sum("tokens"), F.sum("known"), F.sum("once")).first()
+    tokens_learned, distinct, once = (n or 0 for n in sums)
+    size = (SLOTS + 1) * CLASSES
+    maps, by_chunk, by_part = spark.createDataFrame([], CLASS_MAP), chunks.groupBy("chunk"), places.groupBy("part")
+    for sweep in range(sweeps):
+        before = maps
+        blocks = by_chunk.cogroup(before.groupBy("chunk")).applyInPandas(_contexts(parts), BLOCK)
+        vectors = saved(
+            by_part.cogroup(blocks.groupBy("part")).applyInPandas(_gather, VECTORS), "class-lm-vectors"
+        )
+        slim = vectors.select("counts", "first", "owners", "slots", "seen")
+        found = _summed(slim.mapInPandas(_context_counts(None), "k int, n long"), size + 3)
         contexts = found[:size].reshape(SLOTS + 1, CLASSES)
-        tokens_learned, distinct, once = found[size:].tolist()
-    maps = vectors.mapInPandas(_class_maps(contexts), CLASS_MAP)
-    texts = chunks.select("chunk", "tokens", "lengths", "ids", "flags")
+        moved = _class_maps(contexts, counted=sweep == sweeps - 1)
+        maps = saved(vectors.mapInPandas(moved, CLASS_MAP), "class-lm-classes")
+        discard(vectors)
+        if sweep:
+            discard(before)
     scored = saved(
-        texts.groupBy("chunk").cogroup(maps.groupBy("chunk")).applyInPandas(
-            _scorer(tokens_learned, distinct), SCORED
-        ),
+        by_chunk.cogroup(maps.groupBy("chunk")).applyInPandas(_scorer(tokens_learned, distinct, parts), SCORED),
         "class-lm-scored",
     )
+    places.unpersist()
+    chunks.unpersist()
     pairs = _summed(scored.where("k IS NOT NULL").select("k", "n"), (CLASSES + 1) ** 2)
     return (
         scored.where("k IS NULL")
