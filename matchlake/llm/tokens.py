@@ -69,16 +69,16 @@ class WordIds:
         seen, split, code = self.seen, self.tokenizer.model.tokenize, self.code
         lower = b"\n".join(words).lower().split(b"\n")  # words hold no white space
         cores = [w.rstrip(_MARKS) for w in lower]
-        fresh = list({c for c in cores if c not in seen})
-        joined = b"\n".join(fresh)
+        distinct = list(set(cores))  # also those seen: a word of marks may have been, as a whole
+        joined = b"\n".join(distinct)
         texts = joined.decode("utf-8", "replace").split("\n")
         letters = joined.decode("latin-1").translate(_ALPHABET | {10: 10}).split("\n")
         mixed = set()
-        for core, text, own in zip(fresh, texts, letters):
-            if _is_plain_word(text):  # straight to the merges
-                seen[core] = array(code, [t.id for t in split(own)]).tobytes()
-            else:
+        for core, text, own in zip(distinct, texts, letters):
+            if not _is_plain_word(text):
                 mixed.add(core)
+            elif core not in seen:  # straight to the merges
+                seen[core] = array(code, [t.id for t in split(own)]).tobytes()
         whole = set()
         for word, core in zip(lower, cores):
             if core in mixed or not core:

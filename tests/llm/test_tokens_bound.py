@@ -16,3 +16,13 @@ def test_a_worker_keeps_a_bounded_number_of_words(monkeypatch):
         assert ids.raw(text) == b"".join(n.to_bytes(4, "little") for n in plain.encode(text, add_special_tokens=False).ids)
         kept.append(len(ids.seen))
     assert max(kept) < 300
+
+
+def test_a_word_of_marks_that_was_seen_is_no_core(monkeypatch):
+    path = tokens.vocabulary_path()
+    ids = tokens.WordIds(path, "I")
+    monkeypatch.setattr(ids, "seen", {})
+    plain = Tokenizer.from_file(path)
+    for text in ("<", "<:", "s<", "s<:", "é9", "é9,"):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert ids.raw(text) == b"".join(n.to_bytes(4, "little") for n in want)
