@@ -1,6 +1,7 @@
 """Repeated strings against a direct table of all strings of 400 bytes."""
 
 import hashlib
+import os
 from collections import Counter
 
 import numpy as np
@@ -89,6 +90,31 @@ def test_long_text_in_segments(spark, monkeypatch):
     assert result(docs) == plain(rows)
 
 
+def test_many_partitions_are_written_as_few_files(spark, conf, monkeypatch, tmp_path):
+    """An executor forks for every file, and a fork counts as much memory as the executor."""
+    conf(spark__sql__shuffle__partitions="96", spark__sql__adaptive__coalescePartitions__enabled="false")
+    folders = [str(tmp_path / str(i)) for i in range(20)]
+    taken = []
+
+    def path(_spark, label):
+        taken.append(folders[len(taken)])
+        return taken[-1]
+
+    monkeypatch.setattr("matchlake.llm.common.scratch_path", path)
+    draw = np.random.default_rng(7)
+    texts = ["".join(draw.choice(list("abcdefgh "), 1_200)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(100 + i, texts[i][i * 9 :] + texts[-i - 1][: 500 + i]) for i in range(40)]
+    rows += [(7, texts[7]), (200, texts[8])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(96)
+    removed = repeated_text.without_repeats(docs)
+    removed.write.parquet(path(spark, "result"))
+    assert sorted((str(r[0]), *r[1:]) for r in repeated_text.digests(removed).collect()) == plain(rows)
+    most = max(96 // 4, spark.sparkContext.defaultParallelism)
+    files = [len([f for f in os.listdir(d) if f.endswith(".parquet")]) for d in taken]
+    assert len(files) > 5 and max(files) <= most, files
+
+
 @pytest.mark.parametrize("width, n", [(1, 5), (4, 4), (7, 50)])
 def test_sliding_least(width, n):
     values = np.random.default_rng(n).integers(0, 90, n).astype(np.uint64)
